@@ -9,8 +9,12 @@ from .nulls import _c
 
 
 def ratio(num: Column | str, den: Column | str) -> Column:
-    """``num / den``; NULL where the denominator is zero."""
-    return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
+    """``num / den`` in doubles; NULL where the denominator is zero.
+
+    A guard rather than ``try_divide``, which raises and catches per zero row.
+    """
+    den = _c(den).cast("double")
+    return F.when(den != 0, _c(num).cast("double") / den)
 
 
 def product(*cols: Column | str) -> Column:
@@ -25,24 +29,23 @@ def safe_log10(col: Column | str) -> Column:
     return F.log10(_c(col))
 
 
-def global_value(df: DataFrame, expr: Column, where: Column | None = None) -> Column:
+def global_value(df: DataFrame, expr: Column) -> Column:
     """A one-row aggregate of ``df`` as a scalar subquery.
 
     Spark runs it once, merges sibling subqueries over the same table into one
     scan, and hands tasks a constant: no join and no driver round trip.
     """
-    source = df if where is None else df.where(where)
-    return source.agg(expr.alias("v")).scalar()
+    return df.agg(expr.alias("v")).scalar()
 
 
-def shifted(df: DataFrame, col: str, where: Column | None = None) -> Column:
-    """``x + |min(x)|`` with the minimum over the whole table."""
-    return F.col(col) + F.abs(global_value(df, F.min(col), where))
+def shifted(fitted: DataFrame, col: str) -> Column:
+    """``x + |min(x)|`` with the minimum over the rows of ``fitted``."""
+    return F.col(col) + F.abs(global_value(fitted, F.min(col)))
 
 
-def shifted_ratio(df: DataFrame, num: str, den: str, where: Column | None = None) -> Column:
+def shifted_ratio(fitted: DataFrame, num: str, den: str) -> Column:
     """``num / (den + |min(den)|)``; NULL on the row that holds a negative minimum."""
-    return ratio(num, shifted(df, den, where))
+    return ratio(num, shifted(fitted, den))
 
 
 def positive_part(col: Column) -> Column:

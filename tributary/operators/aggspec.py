@@ -15,7 +15,7 @@ BLANKET5 = ("min", "max", "mean", "sum", "var")
 
 
 def feature_name(column: str, fn: str, prefix: str = "") -> str:
-    return f"{prefix}{column}_{fn.upper()}"
+    return f"{prefix}{column}_{'MEAN' if fn == 'share' else fn.upper()}"
 
 
 def feature_names(spec: Spec, prefix: str = "") -> list[str]:
@@ -32,6 +32,7 @@ def aggregate_column(column: str, fn: str) -> Column:
         "min": F.min,
         "max": F.max,
         "mean": F.avg,
+        "share": F.avg,
         "var": F.var_samp,
         "std": F.stddev_samp,
         "count": F.count,

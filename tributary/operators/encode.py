@@ -36,6 +36,11 @@ def vocabulary(df: DataFrame, columns: list[str], limit: int = MAX_CATEGORIES) -
     return {c: sorted(v) for c, v in found.items()}
 
 
+def indicator_name(column: str, value: str) -> str:
+    """``<column>_<value>``; dots and backticks would not survive as column names."""
+    return f"{column}_{value}".replace(".", "_").replace("`", "_")
+
+
 def one_hot(
     df: DataFrame,
     columns: list[str] | None = None,
@@ -48,7 +53,7 @@ def one_hot(
     added = {}
     for c in columns:
         for v in vocab[c]:
-            added[f"{c}_{v}"] = F.col(c).eqNullSafe(F.lit(v)).cast("int")
+            added[indicator_name(c, v)] = F.col(c).eqNullSafe(F.lit(v)).cast("int")
         if missing_column:
             added[f"{c}_nan"] = F.col(c).isNull().cast("int")
     kept = [F.col(c) for c in df.columns if c not in set(columns)]
@@ -66,19 +71,36 @@ def ordinal_encode(df: DataFrame, columns: list[str], vocab: dict[str, list[str]
     return df.withColumns({c: code(c) for c in columns})
 
 
-def quantile_edges(df: DataFrame, column: str, parts: int) -> list[float]:
-    """Distinct exact quantile edges (at most ``parts`` + 1 numbers)."""
-    rows = exact_quantiles(df, column, parts).select("q").collect()
-    return sorted({row["q"] for row in rows})
+def quantile_edges(df: DataFrame, columns: list[str], parts: int) -> dict[str, list[float]]:
+    """Distinct exact quantile edges (at most ``parts`` + 1 numbers) of each column, in one job."""
+    stacked = df.select(
+        F.inline(
+            F.array(
+                *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns]
+            )
+        )
+    )
+    found: dict[str, set[float]] = {c: set() for c in columns}
+    for row in exact_quantiles(stacked, "x", parts, ["column"]).collect():
+        found[row["column"]].add(row["q"])
+    return {c: sorted(v) for c, v in found.items()}
 
 
-def quantile_bin(df: DataFrame, column: str, parts: int, out: str, edges: list[float] | None = None) -> DataFrame:
-    """0-based right-closed quantile bin; the first bin includes the minimum.
+def quantile_bin(
+    df: DataFrame, columns: dict[str, str], parts: int, edges: dict[str, list[float]] | None = None
+) -> DataFrame:
+    """0-based right-closed quantile bins, ``columns`` maps input to output names.
 
-    Repeated edges collapse, missing stays missing, values outside given edges
-    have no bin.
+    The first bin includes the minimum, repeated edges collapse, missing stays
+    missing, and values outside given edges have no bin.
     """
-    edges = quantile_edges(df, column, parts) if edges is None else edges
+    edges = quantile_edges(df, list(columns), parts) if edges is None else edges
+    for column, out in columns.items():
+        df = _bin(df, column, out, edges[column])
+    return df
+
+
+def _bin(df: DataFrame, column: str, out: str, edges: list[float]) -> DataFrame:
     if len(edges) < 2:
         return df.withColumn(out, F.lit(None).cast("int"))
     inner = edges[1:-1]

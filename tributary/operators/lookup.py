@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -12,6 +12,14 @@ MAX_BROADCAST_ROWS = 10_000
 SALTS = 16
 
 
+def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
+    """``df`` as a constant table if it has at most ``max_rows`` rows, else None."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
@@ -25,9 +33,8 @@ def lookup_join(
     table.  Beyond that it is shuffled, replicated over salts so that the rows of
     one hot key spread over that many tasks.
     """
-    rows = lookup.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        small = df.sparkSession.createDataFrame(rows, lookup.schema)
+    small = bounded(lookup, max_rows)
+    if small is not None:
         return df.join(F.broadcast(small), on=keys, how="left")
     others = [c for c in df.columns if c not in keys] or keys
     salted = df.withColumn("__salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
@@ -35,32 +42,40 @@ def lookup_join(
     return salted.join(copies, on=[*keys, "__salt"], how="left").drop("__salt")
 
 
-def group_stats(df: DataFrame, categories: list[str], value: str, where: Column | None = None) -> DataFrame:
-    """Mean and sample std of ``value`` by each category mapped to every row.
+def group_stats(
+    df: DataFrame, categories: list[str], values: list[str], source: DataFrame | None = None
+) -> DataFrame:
+    """Mean and sample std of each value by each category, mapped to every row.
 
-    All categories are aggregated in one scan with grouping sets.
+    All categories and values are aggregated in one scan with grouping sets.
+    ``source`` supplies the rows to aggregate when they are not those of ``df``.
     """
-    source = df if where is None else df.where(where)
+    source = df if source is None else source
+    aggregates = [
+        made for v in values for made in (F.avg(v).alias(f"__m_{v}"), F.stddev_samp(v).alias(f"__s_{v}"))
+    ]
     stats = source.groupingSets([[c] for c in categories], *categories).agg(
-        F.avg(value).alias("__mean"),
-        F.stddev_samp(value).alias("__std"),
-        F.grouping_id().alias("__set"),
+        *aggregates, F.grouping_id().alias("__set")
     )
+    constant = bounded(stats)
     out = df
     for i, c in enumerate(categories):
         only = (1 << len(categories)) - 1 - (1 << (len(categories) - 1 - i))
-        mine = stats.where((F.col("__set") == only) & F.col(c).isNotNull()).select(
-            c,
-            F.col("__mean").alias(f"{c}_{value}_f1_mean"),
-            F.col("__std").alias(f"{c}_{value}_f1_std"),
-        )
-        out = lookup_join(out, mine, [c])
+        named = [
+            F.col(f"__{tag}_{v}").alias(f"{c}_{v}_f1_{name}") for v in values for tag, name in (("m", "mean"), ("s", "std"))
+        ]
+        chosen = stats if constant is None else constant
+        mine = chosen.where((F.col("__set") == only) & F.col(c).isNotNull()).select(c, *named)
+        out = lookup_join(out, mine, [c]) if constant is None else out.join(F.broadcast(mine), on=c, how="left")
     return out
 
 
-def group_median(df: DataFrame, category: str, value: str, out: str) -> DataFrame:
+def group_median(
+    df: DataFrame, category: str, value: str, out: str, source: DataFrame | None = None
+) -> DataFrame:
     """Exact median of ``value`` by category mapped to every row."""
-    found = exact_median(df.where(F.col(category).isNotNull()), value, [category], out)
+    source = df if source is None else source
+    found = exact_median(source.where(F.col(category).isNotNull()), value, [category], out)
     return lookup_join(df, found, [category])
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.pvalue import t_two_sided
+from ..functions.ratios import ratio
 from .ordered import running_total
 from .validation import hash_order
 
@@ -34,12 +35,12 @@ def importance_ttest(importance: DataFrame, actual: str = "actual", null: str =
     stats = importance.groupBy("feature").agg(*arm(actual, "a"), *arm(null, "0"))
     dof = F.col("n_a") + F.col("n_0") - 2
     pooled = ((F.col("n_a") - 1) * F.col("v_a") + (F.col("n_0") - 1) * F.col("v_0")) / F.nullif(dof, F.lit(0))
-    t = F.try_divide(
+    t = ratio(
         F.col("m_a") - F.col("m_0"), F.sqrt(pooled * (1 / F.col("n_a") + 1 / F.col("n_0")))
     )
     tested = stats.where((F.col("n_a") > 0) & (F.col("n_0") > 0)).select(
         "feature", t.alias("t"), t_two_sided(t, dof).alias("pvalues"),
-        F.try_divide("m_a", "m_0").alias("fc"),
+        ratio("m_a", "m_0").alias("fc"),
     )
     # One row per feature in the whole frame: the correction factor is a scalar.
     tests = tested.agg(F.count("pvalues")).scalar()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ratios import ratio
 from .ordered import running_total
 
 
@@ -49,5 +50,5 @@ def auc(df: DataFrame, label: str, score: str, by: list[str] | None = None, out:
     pairs = F.sum("__p").cast("double") * F.sum("__n").cast("double")
     grouped = ranked.groupBy(*by) if by else ranked
     return grouped.agg(
-        F.sum(F.col("__p") + F.col("__n")).alias("rows"), F.try_divide(area, pairs).alias(out)
+        F.sum(F.col("__p") + F.col("__n")).alias("rows"), ratio(area, pairs).alias(out)
     )

@@ -1,5 +1,8 @@
 """Recency-windowed, sliced aggregation in one pass over the history.
 
+Functions: those of ``aggspec`` plus ``share``, the mean of a never-missing 0/1
+indicator (named ``_MEAN``), which needs one sum instead of a sum and a count.
+
 Windows are nested (a row 40 days old is in the 90-, 180- and all-time window),
 so rows are not copied into windows.  Each row falls into one disjoint bucket
 (its smallest window) and one slice class, the shuffle carries one partial
@@ -17,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.ratios import ratio
 from ..functions.recency import within
 from .aggspec import Spec, feature_name
 
@@ -78,7 +82,7 @@ def _partials(column: str, fns: set[str]) -> list[Column]:
     out = []
     if fns & {"mean", "var", "count"}:
         out.append(F.count(x).alias(f"{column}__n"))
-    if fns & {"mean", "sum", "var"}:
+    if fns & {"mean", "sum", "var", "share"}:
         out.append(F.sum(x).alias(f"{column}__s"))
     if "var" in fns:
         out.append((F.var_pop(x) * F.count(x)).alias(f"{column}__q"))
@@ -101,11 +105,13 @@ def _merged(column: str, fn: str) -> Column:
         return F.max(f"{column}__hi")
     if fn == "size":
         return F.sum("__size")
+    if fn == "share":
+        return ratio(s, F.sum("__size"))
     if fn == "mean":
-        return F.try_divide(s.cast("double"), n)
+        return ratio(s, n)
     if fn == "var":
         # Spread around the entity mean, moved to the window's own mean.
-        moved = F.sum(f"{column}__r") - n * F.pow(F.try_divide(s.cast("double"), n) - F.first(f"{column}__c"), F.lit(2.0))
+        moved = F.sum(f"{column}__r") - n * F.pow(ratio(s, n) - F.first(f"{column}__c"), F.lit(2.0))
         return F.when(n > 1, F.greatest(moved, F.lit(0.0)) / (n - 1))
     raise ValueError(f"cannot merge {fn}")
 
@@ -168,7 +174,7 @@ def _recentred(partials: DataFrame, key: str, needed: Mapping[str, set[str]]) ->
     entity = W.partitionBy(key)
     centred = partials.withColumns(
         {
-            f"{c}__c": F.try_divide(
+            f"{c}__c": ratio(
                 F.sum(F.col(f"{c}__s").cast("double")).over(entity), F.sum(f"{c}__n").over(entity)
             )
             for c in varied
@@ -179,7 +185,7 @@ def _recentred(partials: DataFrame, key: str, needed: Mapping[str, set[str]]) ->
             f"{c}__r": F.col(f"{c}__q")
             + F.col(f"{c}__n")
             * F.pow(
-                F.try_divide(F.col(f"{c}__s").cast("double"), F.col(f"{c}__n")) - F.col(f"{c}__c"), F.lit(2.0)
+                ratio(f"{c}__s", f"{c}__n") - F.col(f"{c}__c"), F.lit(2.0)
             )
             for c in varied
         }
@@ -262,7 +268,7 @@ def trend_ratio(wide: DataFrame, recent: str, base: str, prefix: str = "fc_") ->
     short = {c[len(recent) + 1 :] for c in wide.columns if c.startswith(f"{recent}_")}
     long_ = {c[len(base) + 1 :] for c in wide.columns if c.startswith(f"{base}_")}
     added = {
-        f"{prefix}{f}": F.try_divide(F.col(f"{recent}_{f}").cast("double"), F.col(f"{base}_{f}").cast("double"))
+        f"{prefix}{f}": ratio(f"{recent}_{f}", f"{base}_{f}")
         for f in sorted(short & long_)
     }
     return wide.withColumns(added) if added else wide

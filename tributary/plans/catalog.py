@@ -18,11 +18,11 @@ from ..functions.ratios import (
     shifted_ratio,
 )
 from ..functions.recency import within
-from ..functions.rowstats import row_kurtosis, row_mean, row_std, row_sum
+from ..functions.rowstats import row_mean, row_sum, with_row_kurtosis, with_row_std
 from ..operators import aggspec, assemble, boosting, encode, importance, lookup, ordered, rollup, selection
 from ..operators.validation import auc, exact_folds, hash_fold
 from ..operators.windowed import ALL_WINDOW, Slices, Windows, spread, trend_ratio, windowed_agg
-from ..sources.tables import event_history, labelled_documents, line_history, order_history, table
+from ..sources.tables import event_history, labelled_documents, line_history, order_history, spread_scan, table
 
 DAYS = (90, 180, 270, 360)
 EVENT_DAYS = (7, 14, 21)
@@ -138,13 +138,13 @@ _ROW_COLUMNS = ["l_quantity", "l_linenumber", "l_discount", "l_tax"]
 
 
 def row_kurtosis_query(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "lineitem").select(
-        *_LINE_ID, "l_extendedprice", rounded(row_kurtosis(_ROW_COLUMNS), 6).alias("kurt")
-    )
+    lines = spread_scan(table(spark, sf, "lineitem"))
+    made = with_row_kurtosis(lines, _ROW_COLUMNS, "kurt")
+    return made.select(*_LINE_ID, "l_extendedprice", rounded("kurt", 6).alias("kurt"))
 
 
 def row_stats(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select(
+    lines = spread_scan(table(spark, sf, "lineitem")).select(
         *_LINE_ID,
         "l_extendedprice",
         sentinel_to_null("l_quantity", 50.0).alias("a"),
@@ -152,7 +152,7 @@ def row_stats(spark: SparkSession, sf: str) -> DataFrame:
         sentinel_to_null("l_tax", 0.0).alias("c"),
     )
     three = ["a", "b", "c"]
-    spreads = lines.withColumn("std", row_std(three))
+    spreads = with_row_std(lines, three, "std")
     return spreads.select(
         *_LINE_ID,
         "l_extendedprice",
@@ -199,10 +199,9 @@ def payment_features_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def quantile_bins(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").select(*_LINE_ID, "l_extendedprice", "l_discount", "l_quantity")
-    binned = lines
     codes = {"l_discount": "discount_bin", "l_extendedprice": "price_bin", "l_quantity": "quantity_bin"}
-    for column, out in codes.items():
-        binned = encode.quantile_bin(binned, column, 100, out)
+    edges = encode.quantile_edges(lines, list(codes), 100)
+    binned = encode.quantile_bin(spread_scan(lines), codes, 100, edges)
     return binned.select(
         *_LINE_ID, "l_extendedprice", *codes.values(), rounded(row_mean(list(codes.values())), 6).alias("mean_bin")
     )
@@ -358,7 +357,7 @@ def category_share_query(spark: SparkSession, sf: str) -> DataFrame:
 
 def group_stat_map(spark: SparkSession, sf: str) -> DataFrame:
     customers = scan_entity(spark, sf).withColumn("nation", F.col("c_nationkey").cast("string"))
-    mapped = lookup.group_stats(customers, ["c_mktsegment", "nation"], "c_acctbal")
+    mapped = lookup.group_stats(customers, ["c_mktsegment", "nation"], ["c_acctbal"])
     stats = [c for c in mapped.columns if c.endswith(("_f1_mean", "_f1_std"))]
     return mapped.select("c_custkey", *[rounded(c, 6).alias(c) for c in stats])
 
@@ -557,7 +556,7 @@ def select_features(spark: SparkSession, sf: str) -> DataFrame:
 
 def _model_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
     """Numeric features of the whole document text, with the label where known."""
-    docs = labelled_documents(spark, sf)
+    docs = spread_scan(labelled_documents(spark, sf))
     words = F.split(F.trim("text"), r"\s+")
     made = docs.select(
         "doc_id",

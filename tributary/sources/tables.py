@@ -16,6 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than there are cores.
+
+    Only for row work that costs more than moving the rows; a table of many files
+    already has enough splits and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a credit history: one offset in days per row."""
     return table(spark, sf_dir, "orders").withColumn("DAYS_CREDIT", day_offset("o_orderdate", ORDER_ANCHOR))
@@ -23,7 +33,7 @@ def order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def line_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with their order's customer, price and dates."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_scan(table(spark, sf_dir, "lineitem"))
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_totalprice", "o_orderdate"
     )
