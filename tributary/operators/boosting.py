@@ -94,6 +94,7 @@ def cross_validate(
     train, test = table.where(F.col("__fold") >= 0), table.where(F.col("__fold") == -1)
 
     def fit(i: int) -> GBTClassificationModel:
+        stopping = {"validationIndicatorCol": "__held", "validationTol": preset.tolerance} if early_stopping else {}
         booster = GBTClassifier(
             labelCol="__y",
             weightCol="__w",
@@ -105,11 +106,11 @@ def cross_validate(
             minInstancesPerNode=preset.min_rows,
             checkpointInterval=10,
             seed=seed,
+            **stopping,
         )
-        if not early_stopping:
-            return booster.fit(train.where(F.col("__fold") != i))
-        booster.setValidationIndicatorCol("__held").setValidationTol(preset.tolerance)
-        return booster.fit(train.withColumn("__held", F.col("__fold") == i))
+        if early_stopping:
+            return booster.fit(train.withColumn("__held", F.col("__fold") == i))
+        return booster.fit(train.where(F.col("__fold") != i))
 
     shared_dir(df.sparkSession)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

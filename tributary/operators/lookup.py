@@ -105,18 +105,19 @@ def target_encode(
         centred.withColumn("__fold", F.explode(serves))
         .groupBy(category, "__fold")
         .agg(
-            F.sum("__n").alias("n"),
-            F.sum(F.col("__n") * d).alias("sd"),
-            F.sum(F.col("__q") + F.col("__n") * d * d).alias("q"),
-            F.first("__c").alias("c"),
+            F.sum("__n").alias("__n"),
+            F.sum(F.col("__n") * d).alias("__d"),
+            F.sum(F.col("__q") + F.col("__n") * d * d).alias("__q"),
+            F.first("__c").alias("__c"),
         )
     )
-    spread = F.greatest(F.col("q") - F.col("sd") * F.col("sd") / F.col("n"), F.lit(0.0))
+    n, shift = F.col("__n"), F.col("__d")
+    spread = F.greatest(F.col("__q") - shift * shift / n, F.lit(0.0))
     table = merged.select(
         category,
         "__fold",
-        (F.col("c") + F.col("sd") / F.col("n")).alias(f"{prefix}_{label}_avg"),
-        F.when(F.col("n") > 1, F.sqrt(spread / (F.col("n") - 1))).alias(f"{prefix}_{label}_std"),
+        (F.col("__c") + shift / n).alias(f"{prefix}_{label}_avg"),
+        F.when(n > 1, F.sqrt(spread / (n - 1))).alias(f"{prefix}_{label}_std"),
     )
     held_out = F.when(F.col(label).isNull(), F.lit(-1)).otherwise(F.coalesce(F.col(fold).cast("int"), F.lit(-1)))
     return lookup_join(df.withColumn("__fold", held_out), table, [category, "__fold"]).drop("__fold")

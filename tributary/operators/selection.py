@@ -42,8 +42,8 @@ def importance_ttest(importance: DataFrame, actual: str = "actual", null: str =
         "feature", t.alias("t"), t_two_sided(t, dof).alias("pvalues"),
         ratio("m_a", "m_0").alias("fc"),
     )
-    # One row per feature in the whole frame: the correction factor is a scalar.
-    tests = tested.agg(F.count("pvalues")).scalar()
+    # Every compared feature counts as a test, also one whose p-value is undefined.
+    tests = tested.agg(F.count(F.lit(1))).scalar()
     return tested.select(
         "feature",
         "t",
@@ -62,4 +62,4 @@ def select_features(tested: DataFrame, alpha: float = 0.05, require_gain: bool =
     unless ``require_gain`` is set.
     """
     picked = tested.where(F.col("padj") < alpha)
-    return picked.where(F.col("fc") > 1) if require_gain else picked
+    return picked.where(F.col("t") > 0) if require_gain else picked

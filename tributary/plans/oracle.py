@@ -124,7 +124,7 @@ pv AS (
   FROM an),
 sel AS (
   SELECT feature, t, p AS pvalues, ma / m0 AS fc, log2(ma / m0) AS log2fc, -log10(p) AS log10pvalues,
-         least(1.0, p * count(p) OVER ()) AS padj FROM pv)"""
+         least(1.0, p * count(*) OVER ()) AS padj FROM pv)"""
 
 _DUMMY = ["click", "error", "purchase", "signup", "view", "nan"]
 

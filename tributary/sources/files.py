@@ -55,7 +55,7 @@ def stage_zip(spark: SparkSession, archives: str | list[str], schema: str | T.St
                                 stream, dtype=str, chunksize=_BATCH, keep_default_na=False
                             )
                             for chunk in chunks:
-                                yield chunk.reindex(columns=names)
+                                yield chunk.reindex(columns=names).astype(object)
 
     files = spark.read.format("binaryFile").load(archives).select("content")
     rows = files.mapInPandas(unpack, text)
