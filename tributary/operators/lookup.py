@@ -6,25 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .ordered import exact_median
+from .ordered import MAX_CONSTANT_ROWS, bounded, exact_median
 
-MAX_BROADCAST_ROWS = 10_000
 SALTS = 16
 
 
-def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
-    """``df`` as a constant table if it has at most ``max_rows`` rows, else None."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
-
-
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
     keys: list[str],
-    max_rows: int = MAX_BROADCAST_ROWS,
+    max_rows: int = MAX_CONSTANT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Left join to a table with one row per key.

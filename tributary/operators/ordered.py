@@ -18,6 +18,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 _INF = float("inf")
+MAX_CONSTANT_ROWS = 10_000
+
+
+def bounded(df: DataFrame, max_rows: int = MAX_CONSTANT_ROWS) -> DataFrame | None:
+    """``df`` as a constant table if it has at most ``max_rows`` rows, else None."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def default_cells(df: DataFrame) -> int:
@@ -61,16 +70,19 @@ def running_total(
     total: str | None = None,
     tie_break: str | None = None,
     cells: int | None = None,
+    cuts: dict[str, list[float]] | None = None,
 ) -> DataFrame:
     """Sum of ``value`` over earlier rows of the same group, ordered by (order, tie_break).
 
     ``order`` and ``tie_break`` must be numbers that a double represents exactly
     (ids, micros, 52-bit hash keys, scores).  A value of ``order`` heavy enough to
     fill a cell alone gets cells of its own, cut along ``tie_break``.
-    ``total`` optionally names the group's grand total.
+    ``total`` optionally names the group's grand total.  ``cuts`` supplies cell
+    bounds taken from a cheaper frame with the same values.  ``df`` is read more
+    than once and must be deterministic.
     """
     cells = cells or default_cells(df)
-    cuts = cell_bounds(df, [order] + ([tie_break] if tie_break else []), cells)
+    cuts = cuts or cell_bounds(df, [order] + ([tie_break] if tie_break else []), cells)
     heavy = [v for v, n in Counter(cuts[order]).items() if n > 1] if tie_break else []
 
     tagged = df.withColumn("__v", F.col(value) if isinstance(value, str) else value)
@@ -118,40 +130,74 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact interpolated quantiles k/parts per group: rows ``(by..., k, q)``.
 
-    Works on counts of distinct values, so a hot group or a hot value shrinks
-    before it is shuffled.
+    Three narrow passes instead of one big sort.  A sketch gives cell bounds, counts
+    per cell show which cells hold the wanted ranks, and only the rows of those
+    cells are counted by value, shuffled and ranked.  A hot group or value shrinks
+    to counts before it moves.
     """
     by = by or []
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__value"))
+    cuts = cell_bounds(rows, ["__value"], cells or default_cells(df))
+    tagged = with_interval(rows, "__value", cuts["__value"], "__c")
+
+    group = W.partitionBy(*[F.col(c) for c in by]) if by else W.partitionBy(F.lit(0))
+    until = group.orderBy("__c").rowsBetween(W.unboundedPreceding, W.currentRow)
+    per_cell = tagged.groupBy(*by, "__c").agg(F.count(F.lit(1)).alias("__n"))
+    placed = per_cell.select(
+        *by, "__c", "__n", (F.sum("__n").over(until) - 1).alias("__hi"), (F.sum("__n").over(group) - 1).alias("__m")
+    ).withColumn("__lo", F.col("__hi") - F.col("__n") + 1)
+    wanted = placed.where(_near(parts, only)).select(
+        *[F.col(c).alias(f"__k{i}") for i, c in enumerate(by)],
+        F.col("__c").alias("__wc"), F.col("__lo").alias("__base"), "__m",
+    )
+    small = bounded(wanted)
+    wanted = wanted if small is None else F.broadcast(small)
+    same = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(by)] + [F.col("__c") == F.col("__wc")]
     counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("__value"))
+        tagged.join(wanted, on=same)
+        .groupBy(*by, "__c", "__base", "__m", "__value")
         .agg(F.count(F.lit(1)).alias("__n"))
     )
-    ranked = running_total(counts, by, "__value", "__n", out="__lo", total="__all", cells=cells)
-    ranked = ranked.withColumn("__hi", F.col("__lo") + F.col("__n") - 1).withColumn(
-        "__m", F.col("__all") - 1
+    inside = W.partitionBy(*by, "__c").orderBy("__value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = counts.withColumn("__hi", F.col("__base") + F.sum("__n").over(inside) - 1).withColumn(
+        "__lo", F.col("__hi") - F.col("__n") + 1
     )
-    # Quantile k sits at rank k*m/parts; a value matters if that lies in (lo-1, hi+1).
-    first = F.expr(f"if(__m = 0 or __lo = 0, 0, ((__lo - 1) * {parts}) div __m + 1)")
-    last = F.expr(f"if(__m = 0, {parts}, least({parts}, ((__hi + 1) * {parts} - 1) div __m))")
-    ks = F.when(first <= last, F.sequence(first.cast("int"), last.cast("int")))
-    near = ranked.withColumn("k", F.explode(ks))
+    first, last = _rank_range(parts)
+    near = ranked.withColumn("k", F.explode(F.when(first <= last, F.sequence(first, last))))
     if only is not None:
         near = near.where(F.col("k").isin(only))
     # Integer arithmetic keeps floor and remainder of the rank exact.
-    product = F.col("k").cast("bigint") * F.col("__m")
     floor_rank = F.expr(f"(cast(k as bigint) * __m) div {parts}")
-    rest = product % parts
+    rest = (F.col("k").cast("bigint") * F.col("__m")) % parts
     ceil_rank = floor_rank + (rest > 0).cast("bigint")
-    at = lambda rank: F.when((rank >= F.col("__lo")) & (rank <= F.col("__hi")), F.col("__value"))
+
+    def at(rank: Column) -> Column:
+        return F.when((rank >= F.col("__lo")) & (rank <= F.col("__hi")), F.col("__value"))
+
     edges = near.groupBy(*by, "k").agg(
         F.max(at(floor_rank)).alias("__a"),
         F.max(at(ceil_rank)).alias("__b"),
         F.max(rest / F.lit(float(parts))).alias("__w"),
     )
-    return edges.where(F.col("__a").isNotNull()).select(
-        *by, "k", (F.col("__a") + (F.col("__b") - F.col("__a")) * F.col("__w")).alias("q")
-    )
+    return edges.select(*by, "k", (F.col("__a") + (F.col("__b") - F.col("__a")) * F.col("__w")).alias("q"))
+
+
+def _rank_range(parts: int) -> tuple[Column, Column]:
+    """First and last k whose rank k*m/parts lies strictly between lo-1 and hi+1."""
+    first = F.expr(f"if(__m = 0 or __lo = 0, 0, ((__lo - 1) * {parts}) div __m + 1)")
+    last = F.expr(f"if(__m = 0, {parts}, least({parts}, ((__hi + 1) * {parts} - 1) div __m))")
+    return first.cast("int"), last.cast("int")
+
+
+def _near(parts: int, only: list[int] | None) -> Column:
+    """Whether ranks lo..hi touch a wanted quantile."""
+    first, last = _rank_range(parts)
+    if only is None:
+        return first <= last
+    hit = F.lit(False)
+    for k in only:
+        hit = hit | ((first <= k) & (last >= k))
+    return hit
 
 
 def exact_median(df: DataFrame, value: str, by: list[str] | None = None, out: str = "median") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ratios import ratio
-from .ordered import running_total
+from .ordered import cell_bounds, default_cells, running_total
 
 
 def _digest(key: Column | str, seed: int) -> Column:
@@ -39,13 +39,14 @@ def auc(df: DataFrame, label: str, score: str, by: list[str] | None = None, out:
     Rows collapse to counts per distinct score before anything is ordered.
     """
     by = by or []
-    y = F.col(label).cast("bigint")
-    counts = (
-        df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-        .groupBy(*by, F.col(score).cast("double").alias("__score"))
-        .agg(F.sum(y).alias("__p"), F.sum(1 - y).alias("__n"))
+    rows = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).select(
+        *by, F.col(label).cast("bigint").alias("__y"), F.col(score).cast("double").alias("__score")
     )
-    ranked = running_total(counts, by, "__score", "__n", out="__below")
+    counts = rows.groupBy(*by, "__score").agg(
+        F.sum("__y").alias("__p"), F.sum(1 - F.col("__y")).alias("__n")
+    )
+    cuts = cell_bounds(rows, ["__score"], default_cells(df))
+    ranked = running_total(counts, by, "__score", "__n", out="__below", cuts=cuts)
     area = F.sum(F.col("__p") * (F.col("__below") + F.col("__n") / 2.0))
     pairs = F.sum("__p").cast("double") * F.sum("__n").cast("double")
     grouped = ranked.groupBy(*by) if by else ranked

@@ -17,12 +17,21 @@ from ..functions.ratios import (
     safe_log10,
     shifted_ratio,
 )
-from ..functions.recency import within
+from ..functions.recency import since, within
 from ..functions.rowstats import row_mean, row_sum, with_row_kurtosis, with_row_std
 from ..operators import aggspec, assemble, boosting, encode, importance, lookup, ordered, rollup, selection
 from ..operators.validation import auc, exact_folds, hash_fold
 from ..operators.windowed import ALL_WINDOW, Slices, Windows, spread, trend_ratio, windowed_agg
-from ..sources.tables import event_history, labelled_documents, line_history, order_history, spread_scan, table
+from ..sources.tables import (
+    EVENT_ANCHOR,
+    ORDER_ANCHOR,
+    event_history,
+    labelled_documents,
+    line_history,
+    order_history,
+    spread_scan,
+    table,
+)
 
 DAYS = (90, 180, 270, 360)
 EVENT_DAYS = (7, 14, 21)
@@ -100,12 +109,12 @@ def sentinel_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def recency_orders(spark: SparkSession, sf: str) -> DataFrame:
-    recent = order_history(spark, sf).where(within("DAYS_CREDIT", 360))
+    recent = order_history(spark, sf).where(since("o_orderdate", ORDER_ANCHOR, 360))
     return recent.select("o_orderkey", "o_custkey", "DAYS_CREDIT", "o_totalprice")
 
 
 def recency_events(spark: SparkSession, sf: str) -> DataFrame:
-    return event_history(spark, sf).where(within("DAYS_EVENT", 14)).select("event_id", "user_id", "DAYS_EVENT", "value")
+    return event_history(spark, sf).where(since("ts", EVENT_ANCHOR, 14)).select("event_id", "user_id", "DAYS_EVENT", "value")
 
 
 def recency_prev(spark: SparkSession, sf: str) -> DataFrame:
