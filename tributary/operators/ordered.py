@@ -70,34 +70,37 @@ def running_total(
     total: str | None = None,
     tie_break: str | None = None,
     cells: int | None = None,
-    cuts: dict[str, list[float]] | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Sum of ``value`` over earlier rows of the same group, ordered by (order, tie_break).
 
     ``order`` and ``tie_break`` must be numbers that a double represents exactly
     (ids, micros, 52-bit hash keys, scores).  A value of ``order`` heavy enough to
     fill a cell alone gets cells of its own, cut along ``tie_break``.
-    ``total`` optionally names the group's grand total.  ``cuts`` supplies cell
-    bounds taken from a cheaper frame with the same values.  ``df`` is read more
-    than once and must be deterministic.
+    ``total`` optionally names the group's grand total.  ``source`` is a cheaper
+    frame with the same totals (for instance the rows ``df`` was grouped from),
+    used for bounds and cell totals.  Both are read more than once and must be
+    deterministic.
     """
     cells = cells or default_cells(df)
-    cuts = cuts or cell_bounds(df, [order] + ([tie_break] if tie_break else []), cells)
+    source = df if source is None else source
+    cuts = cell_bounds(source, [order] + ([tie_break] if tie_break else []), cells)
     heavy = [v for v, n in Counter(cuts[order]).items() if n > 1] if tie_break else []
 
-    tagged = df.withColumn("__v", F.col(value) if isinstance(value, str) else value)
-    tagged = with_interval(tagged, order, cuts[order], "__c")
-    if heavy:
+    def tag(frame: DataFrame) -> DataFrame:
+        tagged = frame.withColumn("__v", F.col(value) if isinstance(value, str) else value)
+        tagged = with_interval(tagged, order, cuts[order], "__c")
+        if not heavy:
+            return tagged.withColumn("__t", F.lit(0))
         alone = F.coalesce(F.col(order).cast("double").isin(heavy), F.lit(False))
         tagged = with_interval(tagged, tie_break, cuts[tie_break], "__t")
-        tagged = tagged.withColumn("__c", 2 * F.col("__c") + (~alone).cast("int")).withColumn(
+        return tagged.withColumn("__c", 2 * F.col("__c") + (~alone).cast("int")).withColumn(
             "__t", F.when(alone, F.col("__t")).otherwise(F.lit(0))
         )
-    else:
-        tagged = tagged.withColumn("__t", F.lit(0))
 
+    tagged = tag(df)
     cell = ["__c", "__t"]
-    per_cell = tagged.groupBy(*by, *cell).agg(F.sum("__v").alias("__s"))
+    per_cell = tag(source).groupBy(*by, *cell).agg(F.sum("__v").alias("__s"))
     group = W.partitionBy(*[F.col(c) for c in by]) if by else W.partitionBy(F.lit(0))
     before = group.orderBy(*cell).rowsBetween(W.unboundedPreceding, -1)
     offsets = per_cell.select(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ratios import ratio
-from .ordered import cell_bounds, default_cells, running_total
+from .ordered import running_total
 
 
 def _digest(key: Column | str, seed: int) -> Column:
@@ -40,13 +40,13 @@ def auc(df: DataFrame, label: str, score: str, by: list[str] | None = None, out:
     """
     by = by or []
     rows = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).select(
-        *by, F.col(label).cast("bigint").alias("__y"), F.col(score).cast("double").alias("__score")
+        *by,
+        F.col(label).cast("bigint").alias("__p"),
+        (1 - F.col(label)).cast("bigint").alias("__n"),
+        F.col(score).cast("double").alias("__score"),
     )
-    counts = rows.groupBy(*by, "__score").agg(
-        F.sum("__y").alias("__p"), F.sum(1 - F.col("__y")).alias("__n")
-    )
-    cuts = cell_bounds(rows, ["__score"], default_cells(df))
-    ranked = running_total(counts, by, "__score", "__n", out="__below", cuts=cuts)
+    counts = rows.groupBy(*by, "__score").agg(F.sum("__p").alias("__p"), F.sum("__n").alias("__n"))
+    ranked = running_total(counts, by, "__score", "__n", out="__below", source=rows)
     area = F.sum(F.col("__p") * (F.col("__below") + F.col("__n") / 2.0))
     pairs = F.sum("__p").cast("double") * F.sum("__n").cast("double")
     grouped = ranked.groupBy(*by) if by else ranked

@@ -105,6 +105,8 @@ def _merged(column: str, fn: str) -> Column:
         return F.max(f"{column}__hi")
     if fn == "size":
         return F.sum("__size")
+    if fn == "nunique":
+        return F.coalesce(F.sum(f"{column}__d"), F.lit(0))
     if fn == "share":
         return ratio(s, F.sum("__size"))
     if fn == "mean":
@@ -146,92 +148,71 @@ def windowed_agg(
     partials = tagged.groupBy(key, "__bucket", "__cls").agg(
         F.count(F.lit(1)).alias("__size"), *[p for c, fns in needed.items() for p in _partials(c, fns)]
     )
-    spread_out = _fan_out(_recentred(partials, key, needed), key, labels, slices)
-    merged = spread_out.groupBy(key, "window", "slice").agg(
-        *[
-            _merged(c, fn).alias(feature_name(c, fn, prefix))
-            for c, fns in spec.items()
-            for fn in fns
-            if fn != "nunique"
-        ],
+    partials = partials.withColumn("__slices", slices.members()).drop("__cls")
+    for column in distinct:
+        counted = _distinct_partials(tagged, key, column, slices)
+        partials = partials.unionByName(counted, allowMissingColumns=True)
+
+    # One move by entity: the merge here and every later join on the key reuse it.
+    moved = _recentred(partials.repartition(F.col(key)), key, needed)
+    every = F.array(*[F.lit(n) for n in labels])
+    fanned = moved.withColumn(
+        "window", F.explode(F.slice(every, F.col("__bucket") + 1, F.lit(len(labels))))
+    ).withColumn("slice", F.explode("__slices"))
+    merged = fanned.groupBy(key, "window", "slice").agg(
+        *[_merged(c, fn).alias(feature_name(c, fn, prefix)) for c, fns in spec.items() for fn in fns],
         F.sum("__size").alias(size or "__size"),
     )
-    if not size:
-        merged = merged.drop("__size")
-    for column in distinct:
-        counted = _windowed_distinct(tagged, key, column, labels, slices, feature_name(column, "nunique", prefix))
-        merged = merged.join(counted, on=[key, "window", "slice"], how="left").fillna(
-            0, subset=[feature_name(column, "nunique", prefix)]
-        )
-    return merged
+    return merged if size else merged.drop("__size")
 
 
 def _recentred(partials: DataFrame, key: str, needed: Mapping[str, set[str]]) -> DataFrame:
-    """Partials moved to their entity, with squared spread around the entity mean."""
+    """Adds each column's entity mean and its squared spread around that mean."""
     varied = [c for c, fns in needed.items() if "var" in fns]
     if not varied:
-        return partials.repartition(F.col(key))
+        return partials
     entity = W.partitionBy(key)
     centred = partials.withColumns(
         {
-            f"{c}__c": ratio(
-                F.sum(F.col(f"{c}__s").cast("double")).over(entity), F.sum(f"{c}__n").over(entity)
-            )
+            f"{c}__c": ratio(F.sum(F.col(f"{c}__s").cast("double")).over(entity), F.sum(f"{c}__n").over(entity))
             for c in varied
         }
     )
     return centred.withColumns(
         {
             f"{c}__r": F.col(f"{c}__q")
-            + F.col(f"{c}__n")
-            * F.pow(
-                ratio(f"{c}__s", f"{c}__n") - F.col(f"{c}__c"), F.lit(2.0)
-            )
+            + F.col(f"{c}__n") * F.pow(ratio(f"{c}__s", f"{c}__n") - F.col(f"{c}__c"), F.lit(2.0))
             for c in varied
         }
     )
 
 
-def _fan_out(partials: DataFrame, key: str, labels: list[str], slices: Slices) -> DataFrame:
-    every = F.array(*[F.lit(n) for n in labels])
-    hit = F.slice(every, F.col("__bucket") + 1, F.lit(len(labels)))
-    return partials.withColumn("window", F.explode(hit)).withColumn("slice", F.explode(slices.members()))
-
+def _distinct_partials(tagged: DataFrame, key: str, column: str, slices: Slices) -> DataFrame:
+    """Distinct values as partials: a value counts once, in its most recent bucket.
 
-def _windowed_distinct(
-    tagged: DataFrame, key: str, column: str, labels: list[str], slices: Slices, out: str
-) -> DataFrame:
-    """Distinct values per window: a value counts from its most recent bucket on."""
-    marks = []
-    for name, value in slices.names.items():
-        member = (
-            F.col("__bucket")
-            if value is None
-            else F.when(F.col("__cls") == slices.classes().index(value) + 1, F.col("__bucket"))
-        )
-        marks.append((name, F.min(member)))
-    recent = (
+    Windows are nested, so summing these counts over a window's buckets gives the
+    number of distinct values seen in it.
+    """
+    classes = slices.classes()
+    recent = [
+        F.min(F.col("__bucket") if value is None else F.when(F.col("__cls") == classes.index(value) + 1, F.col("__bucket")))
+        for value in slices.names.values()
+    ]
+    seen = (
         tagged.where(F.col(column).isNotNull())
         .groupBy(key, column)
-        .agg(*[m.alias(f"__m{i}") for i, (_, m) in enumerate(marks)])
+        .agg(*[m.alias(f"__m{i}") for i, m in enumerate(recent)])
     )
-    stacked = recent.select(
-        key,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("slice"), F.col(f"__m{i}").alias("__bucket"))
-                    for i, (name, _) in enumerate(marks)
-                ]
-            )
-        ),
-    ).where(F.col("__bucket").isNotNull())
-    counted = stacked.groupBy(key, "slice", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    every = F.array(*[F.lit(n) for n in labels])
-    fanned = counted.repartition(F.col(key)).withColumn(
-        "window", F.explode(F.slice(every, F.col("__bucket") + 1, F.lit(len(labels))))
+    marks = F.array(
+        *[
+            F.struct(F.array(F.lit(name)).alias("__slices"), F.col(f"__m{i}").alias("__bucket"))
+            for i, name in enumerate(slices.names)
+        ]
+    )
+    stacked = seen.select(key, F.inline(marks)).where(F.col("__bucket").isNotNull())
+    return stacked.groupBy(key, "__slices", "__bucket").agg(
+        F.count(F.lit(1)).alias(f"{column}__d"), F.lit(0).cast("bigint").alias("__size")
     )
-    return fanned.groupBy(key, "window", "slice").agg(F.sum("__n").alias(out))
 
 
 def spread(
