@@ -541,22 +541,32 @@ def importance_threshold(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _tested(spark: SparkSession, sf: str) -> DataFrame:
-    run = F.when(F.col("l_linestatus") == "F", "actual").otherwise("null").alias("run")
-    lines = table(spark, sf, "lineitem").select("*", run)
-    means = lines.groupBy(
-        "run", F.col("l_suppkey").cast("string").alias("feature"), F.col("l_linenumber").alias("fold")
-    ).agg((F.avg("l_extendedprice") / 1000).alias("importance"))
+    """Two arms of importances per supplier: discount lifts the actual arm for most of them."""
+    actual = F.col("l_linestatus") == "F"
+    price = F.col("l_extendedprice")
+    lifted = price * (1 + F.col("l_discount") * (F.col("l_suppkey") % 7))
+    means = (
+        table(spark, sf, "lineitem")
+        .groupBy(
+            F.when(actual, "actual").otherwise("null").alias("run"),
+            F.col("l_suppkey").cast("string").alias("feature"),
+            F.col("l_linenumber").alias("fold"),
+        )
+        .agg((F.avg(F.when(actual, lifted).otherwise(price)) / 1000).alias("importance"))
+    )
     return selection.importance_ttest(means)
 
 
 def importance_ttest(spark: SparkSession, sf: str) -> DataFrame:
     tested = _tested(spark, sf)
-    return tested.select("feature", *[rounded(c, 6).alias(c) for c in tested.columns if c != "feature"])
+    digits = {"log10pvalues": 4}
+    return tested.select(
+        "feature", *[rounded(c, digits.get(c, 6)).alias(c) for c in tested.columns if c != "feature"]
+    )
 
 
 def select_features(spark: SparkSession, sf: str) -> DataFrame:
-    # The supplied prices carry no signal, so the corrected level is set wide.
-    picked = selection.select_features(_tested(spark, sf), alpha=0.9999)
+    picked = selection.select_features(_tested(spark, sf))
     return picked.select("feature", rounded("padj", 6).alias("padj"))
 
 

@@ -24,7 +24,7 @@ from ..operators.rollup import child_rollup
 from ..operators.windowed import Slices, Windows, spread, windowed_agg
 from ..session import materialize
 from ..sources import sinks
-from ..sources.files import read_csv
+from ..sources.files import read_csv, stage_zip
 
 KEY = "SK_ID_CURR"
 LABEL = "TARGET"
@@ -144,6 +144,13 @@ def load_tables(
     return CreditTables(**loaded)
 
 
+def stage_inputs(spark: SparkSession, folder: str, schemas: Mapping[str, str], out: str) -> CreditTables:
+    """Unpack the zipped CSV inputs to Parquet once, then load them."""
+    for name, file in FILES.items():
+        stage_zip(spark, f"{folder}/{file}.csv.zip", schemas[name], f"{out}/{file}.parquet")
+    return load_tables(spark, out)
+
+
 # --- entity table -----------------------------------------------------------
 
 

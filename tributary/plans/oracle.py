@@ -100,7 +100,9 @@ means AS (SELECT feature, avg(importance) AS m FROM imp GROUP BY feature)"""
 TTEST = """
 imp AS (
   SELECT CASE WHEN l_linestatus = 'F' THEN 'a' ELSE 'n' END AS run, CAST(l_suppkey AS VARCHAR) AS feature,
-         l_linenumber AS fold, avg(l_extendedprice) / 1000 AS importance
+         l_linenumber AS fold,
+         avg(CASE WHEN l_linestatus = 'F' THEN l_extendedprice * (1 + l_discount * (l_suppkey % 7))
+                  ELSE l_extendedprice END) / 1000 AS importance
   FROM lineitem GROUP BY ALL),
 st AS (
   SELECT feature,
@@ -374,6 +376,6 @@ FROM docs CROSS JOIN k WHERE TARGET IS NULL GROUP BY 1""",
 SELECT feature, fold, {rd('importance', 6)} AS importance FROM imp WHERE feature IN (SELECT feature FROM top)""",
     "importance_threshold": f"WITH {IMPORTANCE} SELECT feature, {rd('m', 6)} AS importance FROM means WHERE m > 53",
     "importance_ttest": f"""WITH {TTEST} SELECT feature, {rd('t', 6)} AS t, {rd('pvalues', 6)} AS pvalues, {rd('fc', 6)} AS fc,
-{rd('log2fc', 6)} AS log2fc, {rd('log10pvalues', 6)} AS log10pvalues, {rd('padj', 6)} AS padj FROM sel""",
-    "select_features": f"WITH {TTEST} SELECT feature, {rd('padj', 6)} AS padj FROM sel WHERE padj < 0.9999",
+{rd('log2fc', 6)} AS log2fc, {rd('log10pvalues', 4)} AS log10pvalues, {rd('padj', 6)} AS padj FROM sel""",
+    "select_features": f"WITH {TTEST} SELECT feature, {rd('padj', 6)} AS padj FROM sel WHERE padj < 0.05",
 }
