@@ -177,3 +177,34 @@ def test_matrices_keep_every_entity(frames, tables):
     assert len(ids) == len(set(ids)) == n
     for c in ("f70", "f76", "f88", "360_bb_ACTIVE_DAYS_CREDIT_ENDDATE_MIN", "12_credditcard_CC_COUNT"):
         assert c in wide.columns
+
+
+def test_pruning_matches_the_full_matrix(spark, tables):
+    full = credit.level1_matrix(tables)
+    names = [
+        "f_12", "NEW_SCORES_STD", "False_bb_BURO_AMT_CREDIT_SUM_MEAN", "90_bb_ACTIVE_DAYS_CREDIT_MEAN",
+        "12_poscash_POS_COUNT", "360_instpay_INSTAL_DPD_MEAN", "90_instpay_INSTAL_DPD_MEAN",
+    ]
+    rows = [(n, 11.0) for n in names] + [("CNT_CHILDREN", 10.0)]
+    prior = spark.createDataFrame(rows, "feature string, importance double")
+    pruned = credit.level1_matrix(tables, ["INSTAL_DPD_MEAN"], prior)
+    kept = [n for n in names if not n.endswith("INSTAL_DPD_MEAN")]
+    assert set(pruned.columns) == {"SK_ID_CURR", "TARGET", *kept}
+    columns = ["SK_ID_CURR", *kept]
+    got = pruned.select(columns).toPandas().set_index("SK_ID_CURR").sort_index()
+    want = full.select(columns).toPandas().set_index("SK_ID_CURR").sort_index()
+    pd.testing.assert_frame_equal(got, want)
+
+
+def test_windows_are_nested(tables):
+    block = credit.instalment_block(tables.installments_payments, credit.LEVEL1_DAYS, True).toPandas()
+    counts = block[[f"{w}_instpay_INSTAL_COUNT" for w in ("90", "180", "270", "360", "False")]].fillna(0)
+    assert (counts.diff(axis=1).iloc[:, 1:] >= 0).all().all()
+
+
+def test_wide_names_survive_a_written_table(spark, tables):
+    from tributary.session import materialize
+
+    names = credit.application_features(tables)
+    kept = materialize(names.select("SK_ID_CURR", *[c for c in names.columns if " " in c or ":" in c]), "names")
+    assert any("/" in c for c in kept.columns) and kept.count() == 119

@@ -134,3 +134,14 @@ def test_trend_slope(spark):
     for g, part in pdf.sort_values(["at", "id"]).groupby("g"):
         want = np.polyfit(part["x"], np.arange(len(part)), 1)[0]
         assert got[g] == pytest.approx(want, rel=1e-6)
+
+
+def test_quantiles_without_a_constant_table(spark, monkeypatch):
+    from tributary.operators import ordered
+
+    pdf = skewed()
+    df = spark.createDataFrame(pdf)
+    want = {r["g"]: r["median"] for r in exact_median(df, "x", ["g"]).collect()}
+    monkeypatch.setattr(ordered, "bounded", lambda *_: None)
+    got = {r["g"]: r["median"] for r in exact_median(df, "x", ["g"]).collect()}
+    assert got == want == {g: pytest.approx(m) for g, m in pdf.groupby("g")["x"].median().items()}

@@ -153,14 +153,15 @@ def exact_quantiles(
         *[F.col(c).alias(f"__k{i}") for i, c in enumerate(by)],
         F.col("__c").alias("__wc"), F.col("__lo").alias("__base"), "__m",
     )
-    small = bounded(wanted)
-    wanted = wanted if small is None else F.broadcast(small)
     same = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(by)] + [F.col("__c") == F.col("__wc")]
-    counts = (
-        tagged.join(wanted, on=same)
-        .groupBy(*by, "__c", "__base", "__m", "__value")
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
+    count = F.count(F.lit(1)).alias("__n")
+    small = bounded(wanted)
+    if small is not None:
+        narrowed = tagged.join(F.broadcast(small), on=same)
+        counts = narrowed.groupBy(*by, "__c", "__base", "__m", "__value").agg(count)
+    else:
+        # Too many groups to broadcast: collapse repeated values before they are shuffled.
+        counts = tagged.groupBy(*by, "__c", "__value").agg(count).join(wanted, on=same)
     inside = W.partitionBy(*by, "__c").orderBy("__value").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = counts.withColumn("__hi", F.col("__base") + F.sum("__n").over(inside) - 1).withColumn(
         "__lo", F.col("__hi") - F.col("__n") + 1

@@ -236,6 +236,8 @@ def spread(
     ]
     if keep is not None:
         wanted = [item for item in wanted if keep(item[3])]
+    if not wanted:
+        return long.select(key).distinct()
     used = [f for f in features if any(item[2] == f for item in wanted)]
     cell = F.struct(F.concat_ws("|", "window", "slice").alias("tag"), F.struct(*used).alias("body"))
     gathered = long.groupBy(key).agg(F.map_from_entries(F.collect_list(cell)).alias("__cells"))

@@ -32,6 +32,7 @@ from ..sources.tables import (
     spread_scan,
     table,
 )
+from . import credit
 
 DAYS = (90, 180, 270, 360)
 EVENT_DAYS = (7, 14, 21)
@@ -623,6 +624,16 @@ def tree_interactions(spark: SparkSession, sf: str) -> DataFrame:
     return importance.tree_interactions(_run(spark, sf, boosting.DEPTHWISE).nodes)
 
 
+def null_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """Importances on real and permuted labels, tested and corrected."""
+    ready, _ = _model_table(spark, sf)
+    keyed = ready.withColumnRenamed("doc_id", credit.KEY)
+    found = credit.null_importances(
+        keyed, _small(boosting.DEPTHWISE), folds=3, early_stopping=False, parallelism=3
+    )
+    return selection.importance_ttest(found)
+
+
 def stacked_oof(spark: SparkSession, sf: str) -> DataFrame:
     """Two level-1 models, their scores as features, and a level-2 model."""
     ready, features = _model_table(spark, sf)
@@ -700,4 +711,5 @@ QUERIES = {
     "importance_long": importance_long,
     "tree_interactions": tree_interactions,
     "stacked_oof": stacked_oof,
+    "null_selection": null_selection,
 }

@@ -8,7 +8,7 @@ features that beat their null.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +26,7 @@ from ..session import materialize
 from ..sources import sinks
 from ..sources.files import read_csv, stage_zip
 
+Keep = Callable[[str], bool] | None
 KEY = "SK_ID_CURR"
 LABEL = "TARGET"
 
@@ -240,8 +241,12 @@ def _block(
     prefix: str = "",
     size: str | None = None,
     means: Sequence[str] = (),
+    keep: Keep = None,
 ) -> DataFrame:
-    """Windowed block in wide form; category shares belong to the unsliced part only."""
+    """Windowed block in wide form; category shares belong to the unsliced part only.
+
+    ``keep`` drops features by final name before they are aggregated.
+    """
     whole = {**spec, **{c: ("share",) for c in shares}, **{c: ("mean",) for c in means}}
     long = windowed_agg(df, KEY, whole, windows, slices, prefix, size)
     names = list(slices.names) if slices else [""]
@@ -253,11 +258,18 @@ def _block(
         return f"{window}_{source}_{middle}{feature}"
 
     unwanted = {name(w, s, f) for w in windows.labels() for s in names if s != everyone for f in categories}
-    return spread(long, KEY, windows.labels(), names, name, keep=lambda n: n not in unwanted)
+    return spread(
+        long, KEY, windows.labels(), names, name, keep=lambda n: n not in unwanted and (keep is None or keep(n))
+    )
 
 
 def bureau_block(
-    bureau: DataFrame, balance: DataFrame, days: tuple[int, ...], unlimited: bool, spec=BUREAU_LEVEL1
+    bureau: DataFrame,
+    balance: DataFrame,
+    days: tuple[int, ...],
+    unlimited: bool,
+    spec=BUREAU_LEVEL1,
+    keep: Keep = None,
 ) -> DataFrame:
     """Credit-bureau history with the monthly balance rolled up per credit."""
     months, months_new = encode.one_hot(balance)
@@ -267,11 +279,13 @@ def bureau_block(
     slices = Slices("__status", {"BURO": None, "ACTIVE": "Active", "CLOSED": "Closed"})
     return _block(
         joined, spec, shares, Windows("DAYS_CREDIT", days, unlimited), slices, "bb",
-        means=[f"{c}_MEAN" for c in months_new],
+        means=[f"{c}_MEAN" for c in months_new], keep=keep,
     )
 
 
-def previous_block(previous: DataFrame, days: tuple[int, ...], unlimited: bool, spec=PREVIOUS_LEVEL1) -> DataFrame:
+def previous_block(
+    previous: DataFrame, days: tuple[int, ...], unlimited: bool, spec=PREVIOUS_LEVEL1, keep: Keep = None
+) -> DataFrame:
     """Previous applications; a window needs a first due date younger than its limit."""
     df = previous.withColumns({c: sentinel_to_null(c, MISSING_DATE) for c in PREVIOUS_DATES if c in previous.columns})
     df = df.withColumns(
@@ -279,47 +293,50 @@ def previous_block(previous: DataFrame, days: tuple[int, ...], unlimited: bool,
     )
     wide, shares = encode.one_hot(df, encode.string_columns(previous))
     slices = Slices("__status", {"PREV": None, "APPROVED": "Approved", "REFUSED": "Refused"})
-    return _block(wide, spec, shares, Windows("DAYS_FIRST_DUE", days, unlimited, strict=True), slices, "prevapp")
+    return _block(wide, spec, shares, Windows("DAYS_FIRST_DUE", days, unlimited, strict=True), slices, "prevapp", keep=keep)
 
 
-def pos_block(pos: DataFrame, months: tuple[int, ...], unlimited: bool, spec=POS_LEVEL1) -> DataFrame:
+def pos_block(
+    pos: DataFrame, months: tuple[int, ...], unlimited: bool, spec=POS_LEVEL1, keep: Keep = None
+) -> DataFrame:
     wide, shares = encode.one_hot(pos)
     return _block(
-        wide, spec, shares, Windows("MONTHS_BALANCE", months, unlimited), None, "poscash", "POS_", "POS_COUNT"
+        wide, spec, shares, Windows("MONTHS_BALANCE", months, unlimited), None, "poscash", "POS_", "POS_COUNT", keep=keep
     )
 
 
 def instalment_block(
-    payments: DataFrame, days: tuple[int, ...], unlimited: bool, spec=INSTALMENT_LEVEL1
+    payments: DataFrame, days: tuple[int, ...], unlimited: bool, spec=INSTALMENT_LEVEL1, keep: Keep = None
 ) -> DataFrame:
     made = payment_features("DAYS_INSTALMENT", "DAYS_ENTRY_PAYMENT", "AMT_INSTALMENT", "AMT_PAYMENT")
     wide, shares = encode.one_hot(payments.withColumns(made))
     return _block(
-        wide, spec, shares, Windows("DAYS_INSTALMENT", days, unlimited), None, "instpay", "INSTAL_", "INSTAL_COUNT"
+        wide, spec, shares, Windows("DAYS_INSTALMENT", days, unlimited), None, "instpay", "INSTAL_", "INSTAL_COUNT", keep=keep
     )
 
 
-def card_block(card: DataFrame, months: tuple[int, ...], unlimited: bool) -> DataFrame:
+def card_block(card: DataFrame, months: tuple[int, ...], unlimited: bool, keep: Keep = None) -> DataFrame:
     """Every remaining numeric column and indicator with the five blanket functions."""
     wide, _ = encode.one_hot(card.drop("SK_ID_PREV"))
     spec = blanket_spec(wide, [KEY], BLANKET5)
     return _block(
-        wide, spec, (), Windows("MONTHS_BALANCE", months, unlimited), None, "credditcard", "CC_", "CC_COUNT"
+        wide, spec, (), Windows("MONTHS_BALANCE", months, unlimited), None, "credditcard", "CC_", "CC_COUNT", keep=keep
     )
 
 
-def history_blocks(tables: CreditTables, level: int) -> list[DataFrame]:
+def history_blocks(tables: CreditTables, level: int, keep: Keep = None) -> list[DataFrame]:
     """The five blocks: level 1 with all windows, level 2 with one window each."""
     days, months = (LEVEL1_DAYS, LEVEL1_MONTHS) if level == 1 else (LEVEL2_DAYS, LEVEL2_MONTHS)
     unlimited = level == 1
     spec = (lambda s: s) if level == 1 else level2_spec
-    return [
-        bureau_block(tables.bureau, tables.bureau_balance, days, unlimited, spec(BUREAU_LEVEL1)),
-        previous_block(tables.previous_application, days, unlimited, spec(PREVIOUS_LEVEL1)),
-        pos_block(tables.pos_cash_balance, months, unlimited, spec(POS_LEVEL1)),
-        instalment_block(tables.installments_payments, days, unlimited, spec(INSTALMENT_LEVEL1)),
-        card_block(tables.credit_card_balance, months, unlimited),
+    blocks = [
+        bureau_block(tables.bureau, tables.bureau_balance, days, unlimited, spec(BUREAU_LEVEL1), keep),
+        previous_block(tables.previous_application, days, unlimited, spec(PREVIOUS_LEVEL1), keep),
+        pos_block(tables.pos_cash_balance, months, unlimited, spec(POS_LEVEL1), keep),
+        instalment_block(tables.installments_payments, days, unlimited, spec(INSTALMENT_LEVEL1), keep),
+        card_block(tables.credit_card_balance, months, unlimited, keep),
     ]
+    return [b for b in blocks if len(b.columns) > 1]
 
 
 # --- feature tables ---------------------------------------------------------
@@ -367,14 +384,25 @@ def level1_matrix(
     threshold: float = 10.0,
     fit_on: str = "all",
 ) -> DataFrame:
-    """Entity features, 25 windowed blocks in five joins, pruned columns."""
-    entity = application_features(tables, fit_on=fit_on)
-    df = assemble.feature_matrix(entity, KEY, history_blocks(tables, 1))
-    df = assemble.drop_blacklist(df, blacklist)
+    """Entity features, 25 windowed blocks in five joins, pruned columns.
+
+    The blacklist and the prior importances are applied before the blocks are
+    aggregated, so a dropped feature costs nothing.
+    """
+    doomed = assemble.blacklisted(blacklist)
+    chosen = None
     if prior_importance is not None:
-        kept = [r["feature"] for r in prior_importance.where(F.col("importance") > threshold).collect()]
-        df = assemble.keep_features(df, kept, [KEY, LABEL])
-    return df
+        rows = prior_importance.where(F.col("importance") > threshold).select("feature").collect()
+        chosen = {r["feature"] for r in rows}
+
+    def keep(name: str) -> bool:
+        return name not in doomed and (chosen is None or name in chosen)
+
+    entity = application_features(tables, fit_on=fit_on)
+    df = assemble.drop_blacklist(entity, blacklist)
+    if chosen is not None:
+        df = assemble.keep_features(df, [c for c in df.columns if c in chosen], [KEY, LABEL])
+    return assemble.feature_matrix(df, KEY, history_blocks(tables, 1, keep))
 
 
 def level2_matrix(
