@@ -66,8 +66,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cores, "bench")
-    jobs = {"windowed_8x6x5_long": wide_block_long, "windowed_8x6x5_wide": wide_block}
-    jobs.update({name: QUERIES[name] for name in HEADLINE})
+    jobs = {name: QUERIES[name] for name in HEADLINE}
+    jobs.update({"windowed_8x6x5_long": wide_block_long, "windowed_8x6x5_wide": wide_block})
     only = sys.argv[1:]
     if only:
         jobs = {k: v for k, v in jobs.items() if k in only}
@@ -75,7 +75,7 @@ def main() -> None:
     took = {}
     for name, job in jobs.items():
         runs = []
-        for _ in range(1 if name == "oof_gbt" else 2):
+        for _ in range(1 if name == "oof_gbt" else 3):
             start = time.perf_counter()
             job(spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)

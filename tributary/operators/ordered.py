@@ -31,7 +31,7 @@ def bounded(df: DataFrame, max_rows: int = MAX_CONSTANT_ROWS) -> DataFrame | Non
 
 def default_cells(df: DataFrame) -> int:
     shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(2 * shuffles, 2000))
+    return max(64, min(2 * shuffles, 2000))
 
 
 def cell_bounds(df: DataFrame, columns: list[str], cells: int) -> dict[str, list[float]]:

@@ -208,10 +208,9 @@ def payment_features_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def quantile_bins(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").select(*_LINE_ID, "l_extendedprice", "l_discount", "l_quantity")
+    lines = spread_scan(table(spark, sf, "lineitem").select(*_LINE_ID, "l_extendedprice", "l_discount", "l_quantity"))
     codes = {"l_discount": "discount_bin", "l_extendedprice": "price_bin", "l_quantity": "quantity_bin"}
-    edges = encode.quantile_edges(lines, list(codes), 100)
-    binned = encode.quantile_bin(spread_scan(lines), codes, 100, edges)
+    binned = encode.quantile_bin(lines, codes, 100)
     return binned.select(
         *_LINE_ID, "l_extendedprice", *codes.values(), rounded(row_mean(list(codes.values())), 6).alias("mean_bin")
     )
