@@ -107,6 +107,23 @@ def test_auc(spark):
     assert total == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("cells", [2, 5, 64])
+def test_signed_zero_is_one_value(spark, cells):
+    rows = [(i, (-1.0, -0.0, 0.0, 1.0)[i % 4], i % 3 % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, s double, y int")
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(4, cells // 2)))
+    got = auc(df, "y", "s").first()["auc"]
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    s, y = np.array([r[1] for r in rows]) + 0.0, np.array([r[2] for r in rows])
+    assert got == pytest.approx(rank_auc(y, s))
+    ranks = running_total(df, [], "s", F.lit(1), out="r", tie_break="id", cells=cells).orderBy("id").toPandas()
+    want = np.empty(200, dtype=int)
+    want[np.lexsort((np.arange(200), s))] = np.arange(200)
+    assert (ranks["r"].to_numpy() == want).all()
+    halves = exact_quantiles(df, "s", 4, cells=cells).orderBy("k").toPandas()["q"]
+    np.testing.assert_allclose(halves, np.quantile(s, [0, 0.25, 0.5, 0.75, 1]))
+
+
 def test_folds(spark):
     df = spark.range(1000).withColumn("y", (F.col("id") % 4 == 0).cast("int"))
     sizes = exact_folds(df, "id", 12, 1001).groupBy("fold").count().collect()

@@ -47,14 +47,18 @@ def cell_bounds(df: DataFrame, columns: list[str], cells: int) -> dict[str, list
 
 
 def with_interval(df: DataFrame, column: str, bounds: list[float], out: str) -> DataFrame:
-    """Index of the half-open interval [b_i, b_i+1) that holds ``column``."""
-    edges = sorted(set(bounds))
+    """Index of the half-open interval [b_i, b_i+1) that holds ``column``.
+
+    Adding zero turns -0.0 into 0.0: grouping treats them as one value, a binary
+    search would not.
+    """
+    edges = sorted({b + 0.0 for b in bounds})
     if not edges:
         return df.withColumn(out, F.lit(0))
     cut = Bucketizer(
         splits=[-_INF, *edges, _INF], inputCol="__x", outputCol="__i", handleInvalid="keep"
     )
-    marked = cut.transform(df.withColumn("__x", F.col(column).cast("double")))
+    marked = cut.transform(df.withColumn("__x", F.col(column).cast("double") + F.lit(0.0)))
     return marked.withColumn(out, F.coalesce(F.col("__i").cast("int"), F.lit(len(edges) + 1))).drop(
         "__x", "__i"
     )
@@ -85,14 +89,14 @@ def running_total(
     cells = cells or default_cells(df)
     source = df if source is None else source
     cuts = cell_bounds(source, [order] + ([tie_break] if tie_break else []), cells)
-    heavy = [v for v, n in Counter(cuts[order]).items() if n > 1] if tie_break else []
+    heavy = [v for v, n in Counter(b + 0.0 for b in cuts[order]).items() if n > 1] if tie_break else []
 
     def tag(frame: DataFrame) -> DataFrame:
         tagged = frame.withColumn("__v", F.col(value) if isinstance(value, str) else value)
         tagged = with_interval(tagged, order, cuts[order], "__c")
         if not heavy:
             return tagged.withColumn("__t", F.lit(0))
-        alone = F.coalesce(F.col(order).cast("double").isin(heavy), F.lit(False))
+        alone = F.coalesce((F.col(order).cast("double") + F.lit(0.0)).isin(heavy), F.lit(False))
         tagged = with_interval(tagged, tie_break, cuts[tie_break], "__t")
         return tagged.withColumn("__c", 2 * F.col("__c") + (~alone).cast("int")).withColumn(
             "__t", F.when(alone, F.col("__t")).otherwise(F.lit(0))
