@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: UTF-8 bytes of text that one step of a map function holds as Python objects.
@@ -27,6 +29,19 @@ def text_steps(batches: Iterator[pa.RecordBatch], text: str, step_bytes: int = S
             yield batch.slice(begin)
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers on machines that share this folder import the package; other clusters ship it with --py-files."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
+def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    on_workers(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def text_key(text: Column) -> Column:
     """16-byte identity of a text (null counts as empty): the first half of its SHA-256."""
     return F.unhex(F.substring(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256), 1, 32))

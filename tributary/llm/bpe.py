@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .arrow import text_steps
+from .arrow import map_arrow, text_steps
 
 # The characters with the Unicode property White_Space.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -157,7 +157,7 @@ def encode_texts(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", tex
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_tokens bigint, ids {'binary' if pack else 'array<int>'}" + ", begins array<int>, ends array<int>" * offsets
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return map_arrow(source, run, schema).withColumnRenamed("id", id_col)
 
 
 def token_bytes(tokenizer_file: str) -> list[bytes]:
@@ -192,7 +192,8 @@ def decode_ids(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", ids_c
                 yield pa.RecordBatch.from_arrays([step.column("id"), pa.array(joined, pa.binary()), pa.array(texts, pa.string())], ["id", "bytes", "text"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(run, f"id {kind}, bytes binary, text string").withColumnRenamed("id", id_col)
+    source = df.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
+    return map_arrow(source, run, f"id {kind}, bytes binary, text string").withColumnRenamed("id", id_col)
 
 
 def round_trip(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -209,7 +210,7 @@ def round_trip(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_
 
     kind = df.schema[id_col].dataType.simpleString()
     encoded = encode_texts(df, tokenizer_file, id_col, text_col, pack=True).withColumnRenamed(id_col, "id")
-    return encoded.mapInArrow(run, f"id {kind}, n_tokens bigint, ids binary, bytes binary").withColumnRenamed("id", id_col)
+    return map_arrow(encoded, run, f"id {kind}, n_tokens bigint, ids binary, bytes binary").withColumnRenamed("id", id_col)
 
 
 def with_id_digest(df: DataFrame, ids_col: str = "ids", name: str = "ids_sha256") -> DataFrame:
@@ -224,4 +225,4 @@ def with_id_digest(df: DataFrame, ids_col: str = "ids", name: str = "ids_sha256"
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(digests, pa.string())], [*columns, name])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != ids_col)
-    return df.mapInArrow(run, f"{schema}, `{name}` string")
+    return map_arrow(df, run, f"{schema}, `{name}` string")
