@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from ..sources.tables import table
-from . import bpe
+from . import bpe, token_files, urls
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -19,5 +22,42 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe}
-ORACLE: dict[str, str] = {}
+# The rules of the query.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"), urls.rule_table(spark, URL_RULES), id_col="page_id")
+
+
+OP7_SQL = """
+WITH parts AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), split AS (
+  SELECT page_id, lower(regexp_extract(rest, '^[^/?#]*')) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts
+), rules(rule_host, rule_path, verdict) AS (
+  VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+), fits AS (
+  SELECT page_id, host, path, rule_host || rule_path AS rule, verdict,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host) DESC NULLS LAST, length(rule_path) DESC) AS place
+  FROM split LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE place = 1
+"""
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/tributary/tokens-{uuid.uuid4().hex}"
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, WORD_BPE, end_id=1)
+    sums = token_files.id_checksums(token_files.read_tokens(spark, path))
+    return token_files.read_metadata(spark, path).join(sums, ["shard", "seq"]).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op7_url_rules": op7_url_rules, "op8_token_files": op8_token_files}
+ORACLE = {"op7_url_rules": OP7_SQL}
