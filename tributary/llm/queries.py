@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources.tables import table
-from . import bpe, token_files, urls
+from . import bpe, sketch, token_files, urls
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -59,5 +59,23 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_metadata(spark, path).join(sums, ["shard", "seq"]).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
-QUERIES = {"op3_byte_bpe": op3_byte_bpe, "op7_url_rules": op7_url_rules, "op8_token_files": op8_token_files}
+def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = sketch.tail_swapped(table(spark, sf_dir, "documents"))
+    return pairs.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        sketch.as_text(F.col("sketch")).alias("fingerprint"),
+        sketch.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        sketch.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        F.coalesce(sketch.resemblance(F.col("sketch"), F.col("next_sketch")), F.lit(0.0)).alias("near_next"),
+    )
+
+
+QUERIES = {
+    "op3_byte_bpe": op3_byte_bpe,
+    "op6_scaled_sketch": op6_scaled_sketch,
+    "op7_url_rules": op7_url_rules,
+    "op8_token_files": op8_token_files,
+}
 ORACLE = {"op7_url_rules": OP7_SQL}
