@@ -196,33 +196,24 @@ def decode_ids(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", ids_c
     return map_arrow(source, run, f"id {kind}, bytes binary, text string").withColumnRenamed("id", id_col)
 
 
-def round_trip(df: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, n_tokens, ids (packed), bytes``: every text encoded, and its ids decoded again in the same pass."""
+def round_trip_digests(encoded: DataFrame, tokenizer_file: str, id_col: str = "doc_id") -> DataFrame:
+    """``id_col, n_tokens, ids_sha256, decoded_sha256`` of packed ids from ``encode_texts``.
+
+    The first digest is of the decimal ids joined by one blank, the second of the bytes that the ids decode to. Both are
+    taken next to the decoding, so neither the decimal forms nor the decoded bytes leave the task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.array(token_bytes(tokenizer_file), dtype=object)
+        decimal = np.array([str(i) for i in range(len(table))], dtype=object)
         for batch in batches:
-            counts = batch.column("n_tokens").to_numpy()
             for begin in range(0, batch.num_rows, 256):
                 step = batch.slice(begin, 256)
-                joined = [b"".join(table[np.frombuffer(r, "<u4")].tolist()) for r in step.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([step.column("id"), pa.array(counts[begin : begin + 256], pa.int64()), step.column("ids"), pa.array(joined, pa.binary())], ["id", "n_tokens", "ids", "bytes"])
-
-    kind = df.schema[id_col].dataType.simpleString()
-    encoded = encode_texts(df, tokenizer_file, id_col, text_col, pack=True).withColumnRenamed(id_col, "id")
-    return map_arrow(encoded, run, f"id {kind}, n_tokens bigint, ids binary, bytes binary").withColumnRenamed("id", id_col)
-
-
-def with_id_digest(df: DataFrame, ids_col: str = "ids", name: str = "ids_sha256") -> DataFrame:
-    """Replace packed ids by the SHA-256 of their decimal forms joined by one blank, for comparing runs."""
-    columns = [c for c in df.columns if c != ids_col]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decimal = np.array([str(i) for i in range(1 << 16)], dtype=object)
-        for batch in batches:
-            ids = (np.frombuffer(r, "<u4") for r in batch.column(ids_col).to_pylist())
-            digests = [hashlib.sha256(" ".join(decimal[i] if not len(i) or i.max() < len(decimal) else map(str, i.tolist())).encode()).hexdigest() for i in ids]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(digests, pa.string())], [*columns, name])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != ids_col)
-    return map_arrow(df, run, f"{schema}, `{name}` string")
+                rows = [np.frombuffer(r, "<u4") for r in step.column("ids").to_pylist()]
+                ids = [hashlib.sha256(" ".join(decimal[r].tolist()).encode()).hexdigest() for r in rows]
+                texts = [hashlib.sha256(b"".join(table[r].tolist())).hexdigest() for r in rows]
+                yield pa.RecordBatch.from_arrays([step.column("id"), step.column("n_tokens"), pa.array(ids, pa.string()), pa.array(texts, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    kind = encoded.schema[id_col].dataType.simpleString()
+    source = encoded.withColumnRenamed(id_col, "id").select("id", "n_tokens", "ids")
+    return map_arrow(source, run, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

@@ -17,9 +17,8 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
-    digests = bpe.with_id_digest(coded.select("doc_id", "n_tokens", "ids", F.sha2("bytes", 256).alias("decoded_sha256")))
-    return digests.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), BYTE_BPE, pack=True)
+    return bpe.round_trip_digests(encoded, BYTE_BPE)
 
 
 # The rules of the query.
