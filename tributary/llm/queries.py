@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources.tables import table
-from . import bpe, sketch, token_files, urls
+from . import bpe, minhash, sketch, token_files, urls
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -71,10 +71,16 @@ def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op6_scaled_sketch": op6_scaled_sketch,
     "op7_url_rules": op7_url_rules,
     "op8_token_files": op8_token_files,
+    "op10_bottom_k": op10_bottom_k,
 }
 ORACLE = {"op7_url_rules": OP7_SQL}
