@@ -27,8 +27,11 @@ from .arrow import map_arrow, text_steps
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: White space belongs to the chunk that follows it, as a leading blank belongs to a word in byte-level BPE.
 SPACED = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-#: For tokenizers that drop white space: chunks between ASCII white space.
-UNSPACED = re.compile(r"[^\t-\r ]+")
+#: For tokenizers that lower-case and drop white space: chunks between ASCII white space, parted further where a Latin-1
+#: small letter meets an ASCII digit or mark other than the apostrophe. Matches of such a tokenizer's pattern end there too.
+UNSPACED = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+(?=[\t-\r !-&(-@\[-`{-~]|\Z)|[!-&(-@\[-`{-~]+(?=[a-z\xdf-\xf6\xf8-\xff\t-\r ]|\Z)|[^\t-\r ]+")
+#: Chunks that normalisation leaves as they are and that are one match of the pattern: these go straight to the model.
+ONE_WORD = {SPACED: re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+"), UNSPACED: re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")}
 
 #: Chunks a memo keeps before it starts anew, and the longest chunk it keeps.
 MEMO_CHUNKS, MEMO_LENGTH = 250_000, 64
@@ -52,6 +55,9 @@ class ChunkEncoder:
     def __init__(self, tokenizer_file: str, chunks: re.Pattern = SPACED, offsets: bool = False, memo_chunks: int = MEMO_CHUNKS):
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
+        self.model = Tokenizer(self.tokenizer.model)
+        self.one_word = ONE_WORD[chunks].fullmatch
+        self.to_characters = {b: c for c, b in byte_table().items()}
         self.chunks, self.offsets, self.memo_chunks = chunks, offsets, memo_chunks
         self._clear()
 
@@ -69,9 +75,15 @@ class ChunkEncoder:
     def _learn(self, new: list[str]) -> None:
         if not new:
             return
-        encode = self.tokenizer.encode_batch if self.offsets else self.tokenizer.encode_batch_fast
-        found = encode(new, add_special_tokens=False)
-        rows = [e.ids for e in found]
+        if self.offsets:
+            found = self.tokenizer.encode_batch(new, add_special_tokens=False)
+            rows = [e.ids for e in found]
+        else:
+            plain = [c for c in new if self.one_word(c)]
+            new = plain + [c for c in new if not self.one_word(c)]
+            mapped = [c.encode().decode("latin-1").translate(self.to_characters) for c in plain]
+            rows = [e.ids for e in self.model.encode_batch_fast(mapped, add_special_tokens=False)]
+            rows += [e.ids for e in self.tokenizer.encode_batch_fast(new[len(plain) :], add_special_tokens=False)]
         sizes = np.fromiter(map(len, rows), np.int32, len(rows))
         base, slot, total = self.used, len(self.slot), int(sizes.sum())
         for name in ("ids", "begins", "ends"):
@@ -125,6 +137,11 @@ def encoder(tokenizer_file: str, chunks: re.Pattern = SPACED, offsets: bool = Fa
     return _ENCODERS[key]
 
 
+def ascii_lower(text: str) -> str:
+    """A to Z in small letters, everything else as it is."""
+    return text.encode().lower().decode()
+
+
 def lists(flat: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     bounds = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat, kind))
