@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources.tables import table
-from . import bpe, minhash, sketch, token_files, toxicity, urls
+from . import bpe, minhash, passages, sketch, token_files, toxicity, urls
+from .arrow import text_key
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -28,6 +29,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = passages.repeated_passages(docs).select(
+        "key", "n_bytes", "n_removed", F.floor(F.size("removed") / 2).alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+    return docs.select("doc_id", text_key(F.col("text")).alias("key")).join(found, "key").drop("key")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), BYTE_BPE, pack=True)
     return bpe.round_trip_digests(encoded, BYTE_BPE)
@@ -90,6 +99,7 @@ def op10_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_passages": op2_passages,
     "op3_byte_bpe": op3_byte_bpe,
     "op6_scaled_sketch": op6_scaled_sketch,
     "op7_url_rules": op7_url_rules,
