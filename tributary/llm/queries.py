@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources.tables import table
-from . import bpe, minhash, passages, sketch, token_files, toxicity, urls
+from . import bpe, minhash, packing, passages, sketch, token_files, toxicity, urls
 from .arrow import text_key
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -92,6 +92,11 @@ def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lengths = table(spark, sf_dir, "documents").select("doc_id", packing.word_length().alias("length"))
+    return packing.pack(lengths)
+
+
 def op10_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
@@ -104,6 +109,7 @@ QUERIES = {
     "op6_scaled_sketch": op6_scaled_sketch,
     "op7_url_rules": op7_url_rules,
     "op8_token_files": op8_token_files,
+    "op9_best_fit": op9_best_fit,
     "op10_bottom_k": op10_bottom_k,
 }
 ORACLE = {"op7_url_rules": OP7_SQL}
