@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources.tables import table
-from . import bpe, minhash, packing, passages, sketch, token_files, toxicity, urls
+from . import bpe, minhash, packing, passages, sketch, token_files, toxicity, urls, vectors
 from .arrow import text_key
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -79,6 +79,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_metadata(spark, path).join(sums, ["shard", "seq"]).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op5_sorted_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = sketch.tail_swapped(table(spark, sf_dir, "documents"))
     return pairs.select(
@@ -106,6 +110,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_passages": op2_passages,
     "op3_byte_bpe": op3_byte_bpe,
+    "op5_sorted_passes": op5_sorted_passes,
     "op6_scaled_sketch": op6_scaled_sketch,
     "op7_url_rules": op7_url_rules,
     "op8_token_files": op8_token_files,
