@@ -7,10 +7,10 @@ Jaccard similarity and filters; full sets confirm.
 
 Lists. For two sets above the threshold each of the smallest values of their union is in both with a probability of
 at least the threshold, so sharing none of ``INDEX`` values has a chance of about 0.25^16. A list of at most ``LIST``
-classes gives all its pairs. A longer list is hot: it gives one pair per class, with its first class. A class
-with over a quarter of its values in hot lists may have its links there only; such classes are compared again, as long as a
-hot list holds several components: all classes outside the largest component against the whole list. Others share enough
-values outside hot lists. So no list is cut, and no all-pairs output comes from a hot list.
+classes gives all its pairs. A longer list is hot: it gives one pair per class, with a class picked for this list. A class
+with over a quarter of its values in hot lists may have its links there only. While a hot list holds several components, its classes
+outside the largest meet further picked members of the largest, in a few rounds; those still outside meet the whole
+list. Other classes share enough values outside hot lists. So no list is cut, and a hot list does not give all its pairs.
 """
 
 from __future__ import annotations
@@ -24,7 +24,9 @@ from .components import components
 from .sketch import SHINGLE_WORDS, shingle_hashes
 
 #: Values in a sketch, values of it that are indexed, classes in a list from which it is hot, hot share of a hot class.
-SKETCH, INDEX, LIST, HOT_SHARE = 32, 16, 128, 0.25
+SKETCH, INDEX, LIST, HOT_SHARE = 32, 16, 32, 0.25
+#: Rounds in which classes outside a hot list's largest component meet that many picked members of it.
+ROUNDS, PICKED = 3, 8
 #: Estimates below the threshold by more than this many standard deviations of the estimate are dropped.
 DEVIATIONS = 4.5
 
@@ -60,8 +62,7 @@ def _candidates(lists: DataFrame, part: int, whole: int) -> DataFrame:
     cool = lists.where(F.col("listed") <= LIST).select("value", "class", "n")
     other = cool.select("value", F.col("class").alias("b"), F.col("n").alias("m"))
     cold = cool.join(other, "value").where((F.col("class") < F.col("b")) & _sizes_fit("n", "m", part, whole)).select(F.col("class").alias("a"), "b")
-    # A hot list's first class stands for it; sizes are compared when the pair is verified.
-    hot = lists.where((F.col("listed") > LIST) & F.col("hot") & (F.col("class") != F.col("first"))).select(F.least("class", "first").alias("a"), F.greatest("class", "first").alias("b"))
+    hot = lists.where((F.col("listed") > LIST) & F.col("hot") & (F.col("class") != F.col("picked"))).select(F.least("class", "picked").alias("a"), F.greatest("class", "picked").alias("b"))
     return cold.unionByName(hot).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
 
 
@@ -97,7 +98,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     classes = materialize(signed.where("class is not null").groupBy("class", "n").agg(F.min("key").alias("key"), F.first("sketch").alias("sketch")), "classes")
 
     values = classes.select("class", "n", F.explode(F.slice("sketch", 1, INDEX)).alias("value"))
-    listed = values.groupBy("value").agg(F.count(F.lit(1)).alias("listed"), F.min("class").alias("first")).where("listed > 1")
+    listed = values.groupBy("value").agg(F.count(F.lit(1)).alias("listed"), F.min(F.struct(F.xxhash64("class", "value"), "class"))["class"].alias("picked")).where("listed > 1")
     rows = values.join(listed, "value")
     hot = rows.where(F.col("listed") > LIST).groupBy("class").agg((F.count(F.lit(1)) > F.least(F.first("n"), F.lit(INDEX)) * HOT_SHARE).alias("hot")).where("hot")
     lists = materialize(rows.join(hot, "class", "left").withColumn("hot", F.coalesce("hot", F.lit(False))), "lists")
@@ -116,9 +117,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rest = _parted(pairs.join(best, ["a", "b"], "left_anti"), groups)
     links = materialize(links.unionByName(_verified(rest, sets, part, whole)), "links")
     groups = components(links)
-    again = materialize(_estimated(_hot_rest(lists, groups), classes, part, whole).join(pairs, ["a", "b"], "left_anti"), "hot")
-    if not again.isEmpty():
-        groups = components(links.unionByName(_verified(again, sets, part, whole)))
+    for turn in range(ROUNDS + 1):
+        outside = materialize(_outside(lists, groups), "outside")
+        if outside.isEmpty():
+            break
+        meet = _picked(lists, outside, groups, turn) if turn < ROUNDS else _whole_lists(lists, outside, groups)
+        links = materialize(links.unionByName(_verified(_estimated(meet, classes, part, whole), sets, part, whole)), "links")
+        groups = components(links)
 
     named = signed.join(groups.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = named.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))
@@ -133,18 +138,35 @@ def _parted(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("a_of", "a") != F.coalesce("b_of", "b")).select(*pairs.columns)
 
 
-def _hot_rest(lists: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of hot classes in one hot list and not in one component, each with one end outside the list's largest."""
-    rows = lists.where((F.col("listed") > LIST) & F.col("hot")).select("value", "class", "n")
-    rows = rows.join(groups.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+def _hot_rows(lists: DataFrame, groups: DataFrame) -> DataFrame:
+    rows = lists.where((F.col("listed") > LIST) & F.col("hot")).select("value", "class")
+    return rows.join(groups.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+
+
+def _outside(lists: DataFrame, groups: DataFrame) -> DataFrame:
+    """``value, x, x_of, top``: hot classes outside the largest component ``top`` of a hot list."""
+    rows = _hot_rows(lists, groups)
     sizes = rows.groupBy("value", "component").agg(F.count(F.lit(1)).alias("held"))
-    largest = sizes.groupBy("value").agg(F.max(F.struct("held", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("value", F.col("top.component").alias("top"))
-    open_rows = rows.join(largest, "value")
-    few = open_rows.where("component <> top").select("value", F.col("class").alias("x"), F.col("component").alias("x_of"))
-    met = few.join(open_rows.select("value", F.col("class").alias("y"), F.col("component").alias("y_of")), "value").where("x_of <> y_of")
+    largest = sizes.groupBy("value").agg(F.max(F.struct("held", "component"))["component"].alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("value", "top")
+    return rows.join(largest, "value").where("component <> top").select("value", F.col("class").alias("x"), F.col("component").alias("x_of"), "top")
+
+
+def _picked(lists: DataFrame, outside: DataFrame, groups: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each class outside with a few members of its lists' largest components, others in each turn."""
+    tops = outside.select("value", F.col("top").alias("component")).distinct()
+    members = _hot_rows(lists, groups).join(tops, ["value", "component"], "left_semi")
+    lane = F.pmod(F.xxhash64("class", F.lit(turn)), F.lit(PICKED))
+    picked = members.groupBy("value", lane.alias("lane")).agg(F.min(F.struct(F.xxhash64("class", "value", F.lit(turn)), "class"))["class"].alias("y"))
+    met = outside.select("value", "x").join(picked.select("value", "y"), "value")
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _whole_lists(lists: DataFrame, outside: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs of each class outside with all of its lists' classes in other components."""
+    met = outside.select("value", "x", "x_of").join(_hot_rows(lists, groups).select("value", F.col("class").alias("y"), F.col("component").alias("y_of")), "value")
+    return met.where("x_of <> y_of").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def one_of_each(df: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``df``, one for each component of ``near_duplicates`` and all with an empty set, columns unchanged.
 
