@@ -54,5 +54,5 @@ def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
