@@ -2,8 +2,8 @@
 
 Every ``SIZE``-byte window has an anchor, the leftmost of its ``GRAM``-byte grams with the smallest hash, and equal windows have
 equal anchors. Neighbouring windows with one anchor form a segment. Only segments whose anchor occurs more than once can
-hold a repeated window; they are cut out, equal ones are merged with a count, and all segments of an anchor go
-to one shard. A shard builds run-length indexes over its segments (see ``runindex``) and streams the matching statistics
+hold a repeated window. Equal segments (a 128-bit hash of anchor and content) are merged with a count before any bytes move; where
+an anchor has several different segments, each is cut out of one text that has it, and all of an anchor go to one shard. A shard builds run-length indexes over its segments (see ``runindex``) and streams the matching statistics
 that mark long matches. Windows, not segments, are what segments of one text have apart, so a match is always a second start.
 
 A text that occurs twice is one text with a count. An anchor with more than ``VARIANTS`` different segments (a passage
@@ -110,7 +110,7 @@ def _slices(batches: Iterator[pa.RecordBatch], size: int):
 
 
 def _anchors(texts: DataFrame, size: int, gram: int) -> DataFrame:
-    """One row per text and different segment: ``key, anchor, offset`` (of the anchor), ``span`` (windows less one), ``firsts, n``."""
+    """One row per text and different segment: ``key, anchor, content, offset`` (of the anchor), ``span`` (windows less one), ``firsts, n``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, parts in _slices(batches, size):
@@ -130,33 +130,31 @@ def _anchors(texts: DataFrame, size: int, gram: int) -> DataFrame:
             keys = pa.array([r[0] for r in rows], pa.binary())
             lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(text)).astype(np.int32)), pa.array(firsts, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [keys.take(pa.array(of)), pa.array(anchor[start].view(np.int64)), pa.array((at - first)[start].astype(np.int32)), pa.array((last - first)[start].astype(np.int32)), lists, pa.array(counts * copies[of])],
-                ["key", "anchor", "offset", "span", "firsts", "n"],
+                [keys.take(pa.array(of)), pa.array(anchor[start].view(np.int64)), pa.array(content[start].view(np.int64)), pa.array((at - first)[start].astype(np.int32)), pa.array((last - first)[start].astype(np.int32)), lists, pa.array(counts * copies[of])],
+                ["key", "anchor", "content", "offset", "span", "firsts", "n"],
             )
 
-    return map_arrow(texts.select("key", "text", "copies"), run, "key binary, anchor bigint, offset int, span int, firsts array<bigint>, n bigint")
+    return map_arrow(texts.select("key", "text", "copies"), run, "key binary, anchor bigint, content bigint, offset int, span int, firsts array<bigint>, n bigint")
 
 
 def _cut(found: DataFrame, size: int) -> DataFrame:
-    """The bytes of the segments listed for each text: ``segment`` (16-byte identity), anchor, offset, bytes, key, firsts, n."""
+    """The bytes of the segments that are listed for each text: ``anchor, content, offset, n, bytes``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["segment", "anchor", "offset", "bytes", "key", "firsts", "n"]
+        kinds = pa.schema([("anchor", pa.int64()), ("content", pa.int64()), ("offset", pa.int32()), ("n", pa.int64()), ("bytes", pa.binary())])
         for batch in batches:
-            out: list[tuple] = []
-            for key, text, segments in zip(batch.column("key").to_pylist(), batch.column("text"), batch.column("segments").to_pylist(), strict=True):
+            out: list[dict] = []
+            for text, segments in zip(batch.column("text"), batch.column("segments"), strict=True):
                 data = text.as_py().encode()
-                for s in segments:
-                    piece = data[s["firsts"][0] : s["firsts"][0] + s["span"] + size]
-                    out.append((hashlib.md5(piece).digest(), s["anchor"], s["offset"], piece, key, s["firsts"], s["n"]))
+                for s in segments.as_py():
+                    first = s.pop("first")
+                    out.append(s | {"bytes": data[first : first + s.pop("span") + size]})
                 if len(out) > 2000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
+                    yield pa.RecordBatch.from_pylist(out, kinds)
                     out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
+            yield pa.RecordBatch.from_pylist(out, kinds)
 
-    kinds = [pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64()]
-    return map_arrow(found.select("key", "text", "segments"), run, "segment binary, anchor bigint, offset int, bytes binary, key binary, firsts array<bigint>, n bigint")
+    return map_arrow(found.select("key", "text", "copies", "segments"), run, "anchor bigint, content bigint, offset int, n bigint, bytes binary")
 
 
 def spans_of(starts: np.ndarray, size: int) -> list[int]:
@@ -168,27 +166,28 @@ def spans_of(starts: np.ndarray, size: int) -> list[int]:
 
 
 def _indexed(variants: DataFrame, size: int, gram: int) -> DataFrame:
-    """``segment, spans`` from run-length indexes over whole anchors; rows come sorted by anchor."""
+    """``anchor, content, spans`` from run-length indexes over whole anchors; rows come sorted by anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
-            starts = repeated_starts([p for _, p, _ in held], size, 2 * size - gram)
-            spans = [[0, len(p)] if n > 1 else spans_of(s, size) for (_, p, n), s in zip(held, starts, strict=True)]
-            keep = [i for i, s in enumerate(spans) if s]
-            return pa.RecordBatch.from_arrays([pa.array([held[i][0] for i in keep], pa.binary()), pa.array([spans[i] for i in keep], pa.list_(pa.int32()))], ["segment", "spans"])
+            starts = repeated_starts([p for *_, p in held], size, 2 * size - gram)
+            # A segment that comes more than once is repeated as a whole.
+            spans = [[0, len(p)] if n > 1 else spans_of(s, size) for (_, _, n, p), s in zip(held, starts, strict=True)]
+            rows = [(a, c, s) for (a, c, *_), s in zip(held, spans, strict=True) if s]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else ((), (), ()), (pa.int64(), pa.int64(), pa.list_(pa.int32())), strict=True)], ["anchor", "content", "spans"])
 
         held, total, last = [], 0, None
         for batch in batches:
-            for anchor, segment, piece, n in zip(*(batch.column(c).to_pylist() for c in ("anchor", "segment", "bytes", "n")), strict=True):
+            for anchor, content, n, piece in zip(*(batch.column(c).to_pylist() for c in ("anchor", "content", "n", "bytes")), strict=True):
                 if anchor != last and total >= INDEX_BYTES:
                     yield flush()
                     held, total = [], 0
-                held.append((segment, piece, n))
+                held.append((anchor, content, n, piece))
                 total, last = total + len(piece) + 1, anchor
         if held:
             yield flush()
 
-    return map_arrow(variants.select("anchor", "segment", "bytes", "n"), run, "segment binary, spans array<int>")
+    return map_arrow(variants.select("anchor", "content", "n", "bytes"), run, "anchor bigint, content bigint, spans array<int>")
 
 
 def _block_cores(rows: DataFrame, block: int, size: int) -> DataFrame:
@@ -198,31 +197,29 @@ def _block_cores(rows: DataFrame, block: int, size: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["core", "segment", "offset", "bytes", "n", "low", "high"]
+        kinds = pa.schema([("core", pa.binary()), ("anchor", pa.int64()), ("content", pa.int64()), ("offset", pa.int32()), ("n", pa.int64()), ("bytes", pa.binary()), ("low", pa.int32()), ("high", pa.int32())])
         for batch in batches:
             out = []
-            for anchor, segment, offset, data, n, low, high in zip(*(batch.column(c).to_pylist() for c in ("anchor", "segment", "offset", "bytes", "n", "low", "high")), strict=True):
-                for b in range(low // block, high // block + 1):
-                    begin = offset - b * block
-                    core = data[max(0, begin) : offset - (b * block + block - 1) + size] if block > 1 else data[begin : begin + size]
-                    mark = hashlib.md5(core + b"%d %d" % (b, anchor)).digest()
-                    out.append((mark, segment, offset, data, n, max(low, b * block), min(high, b * block + block - 1), anchor))
-            columns = list(zip(*out, strict=True)) if out else [()] * 8
-            kinds = [pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [*names, "anchor"])
+            for row in batch.to_pylist():
+                data, offset = row["bytes"], row["offset"]
+                for b in range(row["low"] // block, row["high"] // block + 1):
+                    core = data[max(0, offset - b * block) : offset - (b * block + block - 1) + size]
+                    mark = hashlib.md5(core + b"%d %d" % (b, row["anchor"])).digest()
+                    out.append(row | {"core": mark, "low": max(row["low"], b * block), "high": min(row["high"], b * block + block - 1)})
+            yield pa.RecordBatch.from_pylist(out, kinds)
 
-    return map_arrow(rows.select("anchor", "segment", "offset", "bytes", "n", "low", "high"), run, "core binary, segment binary, offset int, bytes binary, n bigint, low int, high int, anchor bigint")
+    return map_arrow(rows.select("anchor", "content", "offset", "n", "bytes", "low", "high"), run, "core binary, anchor bigint, content bigint, offset int, n bigint, bytes binary, low int, high int")
 
 
 def _refined(hot: DataFrame, size: int) -> DataFrame:
-    """``segment, spans`` for segments of hot anchors, by ever smaller blocks whose core occurs again."""
+    """``anchor, content, spans`` for segments of hot anchors, by ever smaller blocks whose core occurs again."""
     rows = hot.withColumn("high", F.col("offset")).withColumn("low", F.col("offset") - (F.length("bytes") - size))
     for block in BLOCKS:
         cores = materialize(_block_cores(rows, block, size), "cores")
         again = cores.groupBy("core").agg(F.sum("n").alias("total")).where("total > 1").select("core")
         rows = cores.join(again, "core", "left_semi")
-    starts = rows.groupBy("segment").agg(F.sort_array(F.collect_set(F.col("offset") - F.col("low"))).alias("starts"))
-    return starts.select("segment", F.flatten(F.transform("starts", lambda s: F.array(s, s + size))).alias("spans"))
+    starts = rows.groupBy("anchor", "content").agg(F.sort_array(F.collect_set(F.col("offset") - F.col("low"))).alias("starts"))
+    return starts.select("anchor", "content", F.flatten(F.transform("starts", lambda s: F.array(s, s + size))).alias("spans"))
 
 
 def repeated_passages(df: DataFrame, text_col: str = "text", size: int = SIZE, gram: int = GRAM, variants: int = VARIANTS) -> DataFrame:
@@ -234,21 +231,30 @@ def repeated_passages(df: DataFrame, text_col: str = "text", size: int = SIZE, g
     empty table gives an empty result. Only the text column is read.
     """
     texts = distinct_texts(df, text_col)
-    anchors = _anchors(texts, size, gram)
-    repeated = anchors.groupBy("anchor").agg(F.sum("n").alias("total")).where("total > 1").select("anchor")
-    lists = anchors.join(repeated, "anchor").groupBy("key").agg(F.collect_list(F.struct("anchor", "offset", "span", "firsts", "n")).alias("segments"))
-    cut = materialize(_cut(texts.select("key", "text", "copies").join(lists, "key"), size), "segments")
-
-    merged = cut.groupBy("anchor", "segment", "offset", "bytes").agg(F.sum("n").alias("n"))
-    kinds = cut.groupBy("anchor").agg(F.approx_count_distinct("segment", 0.02).alias("kinds"), F.count(F.lit(1)).alias("rows")).withColumn("kinds", F.least("kinds", "rows"))
-    sized = materialize(merged.join(kinds, "anchor").select("anchor", "segment", "offset", "bytes", "n", "kinds"), "variants")
-    marks = _indexed(sized.where(F.col("kinds") <= variants).repartition("anchor").sortWithinPartitions("anchor"), size, gram)
-    marks = marks.unionByName(_refined(sized.where(F.col("kinds") > variants), size))
-
-    covered = cut.select("segment", "key", "firsts").join(marks, "segment").groupBy("key").agg(F.collect_list(F.struct("firsts", "spans")).alias("marks"))
+    anchors = materialize(_anchors(texts, size, gram), "anchors")
+    again = anchors.groupBy("anchor").agg(F.sum("n").alias("total")).where("total > 1").select("anchor")
+    found = materialize(anchors.join(again, "anchor"), "repeated")
+
+    one = F.min(F.struct("key", F.col("firsts")[0].alias("first"))).alias("one")
+    merged = found.groupBy("anchor", "content", "offset", "span").agg(F.sum("n").alias("n"), one)
+    kinds = merged.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"))
+    merged = materialize(merged.join(kinds, "anchor"), "merged")
+    marks = merged.where("kinds = 1").select("anchor", "content", F.array(F.lit(0), F.col("span") + size).alias("spans"))
+    marks = marks.unionByName(_indexed(_variants(texts, merged.where((F.col("kinds") > 1) & (F.col("kinds") <= variants)), size).repartition("anchor").sortWithinPartitions("anchor"), size, gram))
+    hot = merged.where(F.col("kinds") > variants)
+    if not hot.isEmpty():
+        marks = marks.unionByName(_refined(_variants(texts, hot, size), size))
+
+    covered = found.select("anchor", "content", "key", "firsts").join(marks, ["anchor", "content"]).groupBy("key").agg(F.collect_list(F.struct("firsts", "spans")).alias("marks"))
     return _removed(texts.select("key", "text", "copies").join(covered, "key", "left"))
 
 
+def _variants(texts: DataFrame, merged: DataFrame, size: int) -> DataFrame:
+    """Different segments with their bytes, each cut out of one text that has it."""
+    listed = merged.groupBy(F.col("one.key").alias("key")).agg(F.collect_list(F.struct("anchor", "content", "offset", "n", "span", F.col("one.first").alias("first"))).alias("segments"))
+    return _cut(texts.select("key", "text", "copies").join(listed, "key"), size)
+
+
 def _removed(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
