@@ -6,7 +6,7 @@ hold a repeated window. Equal segments (a 128-bit hash of anchor and content) ar
 an anchor has several different segments, each is cut out of one text that has it, and all of an anchor go to one shard. A shard builds run-length indexes over its segments (see ``runindex``) and streams the matching statistics
 that mark long matches. Windows, not segments, are what segments of one text have apart, so a match is always a second start.
 
-A text that occurs twice is one text with a count. An anchor with more than ``VARIANTS`` different segments (a passage
+Copies of a text count, but its bytes move once. An anchor with more than ``VARIANTS`` different segments (a passage
 very many documents share, each in surroundings of its own) would be too much for one shard: its windows are told
 apart by the hash of what ever smaller blocks of windows have in common, until single windows are left.
 """
@@ -91,15 +91,14 @@ def segments_of(data: np.ndarray, bounds: np.ndarray, size: int, gram: int) -> t
 
 
 def _slices(batches: Iterator[pa.RecordBatch], size: int):
-    """Keys and texts as bytes, long texts cut with an overlap, gathered to about one slice: (rows, data, bounds)."""
+    """Keys with a place in the text, and texts as bytes, long ones cut with an overlap, gathered to about one slice."""
     rows, parts, held = [], [], 0
     for batch in batches:
-        keys, copies = batch.column("key").to_pylist(), batch.column("copies").to_pylist()
-        for key, n, text in zip(keys, copies, batch.column("text"), strict=True):
+        for key, text in zip(batch.column("key").to_pylist(), batch.column("text"), strict=True):
             data = text.as_py().encode()
             for begin in range(0, max(1, len(data) - size + 1), SLICE):
                 part = data[begin : begin + SLICE + size - 1]
-                rows.append((key, n, begin))
+                rows.append((key, begin))
                 parts.append(part)
                 held += len(part)
                 if held >= SLICE:
@@ -122,19 +121,18 @@ def _anchors(texts: DataFrame, size: int, gram: int) -> DataFrame:
             new = np.ones(len(text), bool)
             new[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])
             start = np.flatnonzero(new)
-            begin = np.array([r[2] for r in rows], np.int64)
+            begin = np.array([r[1] for r in rows], np.int64)
             firsts = first - bounds[text] + begin[text]
             counts = np.diff(np.append(start, len(text)))
             of = text[start]
-            copies = np.array([r[1] for r in rows], np.int64)
             keys = pa.array([r[0] for r in rows], pa.binary())
             lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(text)).astype(np.int32)), pa.array(firsts, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [keys.take(pa.array(of)), pa.array(anchor[start].view(np.int64)), pa.array(content[start].view(np.int64)), pa.array((at - first)[start].astype(np.int32)), pa.array((last - first)[start].astype(np.int32)), lists, pa.array(counts * copies[of])],
+                [keys.take(pa.array(of)), pa.array(anchor[start].view(np.int64)), pa.array(content[start].view(np.int64)), pa.array((at - first)[start].astype(np.int32)), pa.array((last - first)[start].astype(np.int32)), lists, pa.array(counts)],
                 ["key", "anchor", "content", "offset", "span", "firsts", "n"],
             )
 
-    return map_arrow(texts.select("key", "text", "copies"), run, "key binary, anchor bigint, content bigint, offset int, span int, firsts array<bigint>, n bigint")
+    return map_arrow(texts.select("key", "text"), run, "key binary, anchor bigint, content bigint, offset int, span int, firsts array<bigint>, n bigint")
 
 
 def _cut(found: DataFrame, size: int) -> DataFrame:
@@ -230,10 +228,12 @@ def repeated_passages(df: DataFrame, text_col: str = "text", size: int = SIZE, g
     are judged on the input. Matches never cross rows. A null text is empty; texts shorter than ``size`` stay whole; an
     empty table gives an empty result. Only the text column is read.
     """
-    texts = distinct_texts(df, text_col)
-    anchors = materialize(_anchors(texts, size, gram), "anchors")
+    rows = df.select(text_key(F.col(text_col)).alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    anchors = materialize(_anchors(rows, size, gram), "anchors")
     again = anchors.groupBy("anchor").agg(F.sum("n").alias("total")).where("total > 1").select("anchor")
     found = materialize(anchors.join(again, "anchor"), "repeated")
+    # Two later uses read these texts with the same columns and filter, so that Spark shuffles them once.
+    texts = distinct_texts(df, text_col).where("key is not null")
 
     one = F.min(F.struct("key", F.col("firsts")[0].alias("first"))).alias("one")
     merged = found.groupBy("anchor", "content", "offset", "span").agg(F.sum("n").alias("n"), one)
@@ -245,7 +245,8 @@ def repeated_passages(df: DataFrame, text_col: str = "text", size: int = SIZE, g
     if not hot.isEmpty():
         marks = marks.unionByName(_refined(_variants(texts, hot, size), size))
 
-    covered = found.select("anchor", "content", "key", "firsts").join(marks, ["anchor", "content"]).groupBy("key").agg(F.collect_list(F.struct("firsts", "spans")).alias("marks"))
+    places = found.groupBy("key", "anchor", "content").agg(F.first("firsts").alias("firsts"))  # once for all copies of a text
+    covered = places.join(marks, ["anchor", "content"]).groupBy("key").agg(F.collect_list(F.struct("firsts", "spans")).alias("marks"))
     return _removed(texts.select("key", "text", "copies").join(covered, "key", "left"))
 
 
@@ -277,7 +278,7 @@ def _removed(texts: DataFrame) -> DataFrame:
             kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int64()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], ["key", "kept", "n_bytes", "removed", "n_removed"])
 
-    return map_arrow(texts.select("key", "text", "marks"), run, "key binary, kept binary, n_bytes bigint, removed array<bigint>, n_removed bigint")
+    return map_arrow(texts.select("key", "text", "copies", "marks"), run, "key binary, kept binary, n_bytes bigint, removed array<bigint>, n_removed bigint")
 
 
 def without_passages(df: DataFrame, text_col: str = "text", **settings) -> DataFrame:
