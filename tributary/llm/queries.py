@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources.tables import table
-from . import bpe, minhash, packing, passages, sketch, token_files, toxicity, urls, vectors
+from . import bpe, ctw, minhash, packing, passages, sketch, token_files, toxicity, urls, vectors
 from .arrow import text_key
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -79,6 +79,11 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_metadata(spark, path).join(sums, ["shard", "seq"]).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_context_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ctw.score_texts(table(spark, sf_dir, "documents"), train=fold(5) != 1)
+    return scored.select("doc_id", (fold(5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_sorted_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -110,6 +115,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_passages": op2_passages,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_context_trees": op4_context_trees,
     "op5_sorted_passes": op5_sorted_passes,
     "op6_scaled_sketch": op6_scaled_sketch,
     "op7_url_rules": op7_url_rules,
