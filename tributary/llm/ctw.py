@@ -28,7 +28,7 @@ from ..session import materialize
 from .arrow import on_workers
 
 #: Bytes of context, bytes of text in a chunk, positions handled at once, chunks for each shard.
-DEPTH, CHUNK_BYTES, STEP, CHUNKS_PER_SHARD = 5, 8 << 20, 1 << 20, 2
+DEPTH, CHUNK_BYTES, STEP, CHUNKS_PER_SHARD = 5, 16 << 20, 1 << 20, 2
 #: A byte that UTF-8 never holds: the context before a text, and its end.
 EDGE = 0xFF
 # What a word is.
@@ -203,6 +203,17 @@ def chunk_keys(texts: list[bytes], train: np.ndarray, depth: int) -> dict[int, t
     return {BYTES: (k, c), WORDS: (words, word_counts)}
 
 
+def dealt(keys: np.ndarray, kind: int, shards: int) -> tuple[np.ndarray, list[int], list[np.ndarray]]:
+    """Sorted keys dealt to shards: their order by shard, the shards that get any, and the places of each one's keys."""
+    shard = key_shard(keys, kind, shards)
+    order = np.argsort(shard, kind="stable")
+    if not len(order):
+        return order, [], []
+    cuts = np.flatnonzero(np.diff(shard[order])) + 1
+    parts = np.split(order, cuts)
+    return order, [int(shard[p[0]]) for p in parts], parts
+
+
 BLOB = "chunk bigint, shard bigint, kind int, keys binary, counts binary"
 
 
@@ -212,12 +223,8 @@ def _requests(chunked: DataFrame, shards: int, depth: int) -> DataFrame:
         train = rows.column("train").to_numpy(zero_copy_only=False).astype(float)
         out = []
         for kind, (keys, counts) in chunk_keys(_lowered(rows), train, depth).items():
-            shard = key_shard(keys, kind, shards)
-            order = np.argsort(shard, kind="stable")
-            cuts = np.flatnonzero(np.append(True, np.diff(shard[order]) != 0))
-            for part in np.split(order, cuts[1:]):
-                if len(part):
-                    out.append((chunk, int(shard[part[0]]), kind, keys[part].tobytes(), counts[part].astype(np.int64).tobytes()))
+            _, names, parts = dealt(keys, kind, shards)
+            out += [(chunk, shard, kind, keys[p].tobytes(), counts[p].astype(np.int64).tobytes()) for shard, p in zip(names, parts, strict=True)]
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=["chunk", "shard", "kind", "keys", "counts"])
 
@@ -270,35 +277,54 @@ def _answers(requests: DataFrame, top: dict[int, list[Level]], depth: int) -> Da
     def run(rows: pa.Table) -> pa.Table:
         keys, counts = _merged(rows)
         kind = rows.column("kind")[0].as_py()
-        values = counts.astype(float) if kind == WORDS else log_probabilities(keys, {**top, **trees(keys, counts, 2, depth)}, depth)
+        values = counts.astype(float) if kind == WORDS else log_probabilities(keys, {**top, **trees(keys, counts, 2, depth)}, depth).astype(np.float32)
         found = [values[np.searchsorted(keys, np.frombuffer(k, np.uint64))].tobytes() for k in rows.column("keys").to_pylist()]
-        return pa.table([rows.column("chunk"), rows.column("kind"), rows.column("keys"), pa.array(found, pa.binary())], names=["chunk", "kind", "keys", "values"])
+        return pa.table([rows.column("chunk"), rows.column("shard"), rows.column("kind"), pa.array(found, pa.binary())], names=["chunk", "shard", "kind", "values"])
+
+    return requests.groupBy("kind", "shard").applyInArrow(run, "chunk bigint, shard bigint, kind int, values binary")
 
-    return requests.groupBy("kind", "shard").applyInArrow(run, "chunk bigint, kind int, keys binary, values binary")
+
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and for each key its number among them."""
+    order = np.argsort(keys)
+    held = keys[order]
+    new = np.append(True, held[1:] != held[:-1])
+    numbers = np.empty(len(keys), np.int32)
+    numbers[order] = np.cumsum(new) - 1
+    return held[new], numbers
 
 
-def _scored(chunked: DataFrame, answers: DataFrame, id_type: str, depth: int) -> DataFrame:
+def _scored(chunked: DataFrame, answers: DataFrame, id_type: str, shards: int, depth: int) -> DataFrame:
     def run(rows: pa.Table, given: pa.Table) -> pa.Table:
-        known = {}
-        for kind in (BYTES, WORDS):
-            own = given.filter(pa.compute.equal(given.column("kind"), kind))
-            keys = np.frombuffer(b"".join(own.column("keys").to_pylist()), np.uint64)
-            order = np.argsort(keys)
-            known[kind] = keys[order], np.frombuffer(b"".join(own.column("values").to_pylist()), float)[order]
-        texts, out, table, values = _lowered(rows), [], {}, np.empty(0)
-        end = known[WORDS][1][np.searchsorted(known[WORDS][0], [END_WORD])] if len(texts) else np.empty(0)
+        texts, table, steps = _lowered(rows), {}, []
         for a, b in _steps(texts):
             keys, n = position_keys(texts[a:b], depth)
-            score = np.add.reduceat(known[BYTES][1][np.searchsorted(known[BYTES][0], keys)], np.cumsum(n) - n)
-            before = len(table)
-            numbers, w = _words(texts[a:b], table)
-            new = _hashes(dict.fromkeys(list(table)[before:]))
-            values = np.concatenate([values, known[WORDS][1][np.searchsorted(known[WORDS][0], new)]])
-            logs, seen = (np.concatenate([[0.0], np.cumsum(c)]) for c in (np.log10(values + 0.5)[numbers], (values > 0)[numbers]))
+            steps.append((*_numbered(keys), n, *_words(texts[a:b], table)))
+        if not steps:
+            none = [pa.array([], pa.int64())] * 3 + [pa.array([], pa.float64())] * 2
+            return pa.table([rows.column("id"), *none], names=["id", "n_symbols", "n_tokens", "n_known", "logs", "score"])
+
+        def values_of(kind: int, keys: np.ndarray) -> np.ndarray:
+            """The answers, which come by shard, in order of the sorted keys that were asked."""
+            own = given.filter(pa.compute.equal(given.column("kind"), kind)).sort_by("shard")
+            out = np.empty(len(keys))
+            out[dealt(keys, kind, shards)[0]] = np.frombuffer(b"".join(own.column("values").to_pylist()), float if kind == WORDS else np.float32)
+            return out
+
+        symbols = np.unique(np.concatenate([s[0] for s in steps]))
+        log_p = values_of(BYTES, symbols)
+        hashes = np.append(_hashes(table), END_WORD)
+        words, at = np.unique(hashes, return_inverse=True)
+        counts = values_of(WORDS, words)[at]
+        known, logs = counts > 0, np.log10(counts + 0.5)
+        out = []
+        for keys, numbers, n, word, w in steps:
+            score = np.add.reduceat(log_p[np.searchsorted(symbols, keys)][numbers], np.cumsum(n) - n)
+            seen, sums = (np.concatenate([[0.0], np.cumsum(c[word])]) for c in (known, logs))
             upto = np.concatenate([[0], np.cumsum(w)])
-            out.append((n, w + 1, np.diff(seen[upto]) + (end[0] > 0), np.diff(logs[upto]) + np.log10(end[0] + 0.5), score))
-        n_bytes, tokens, n_known, base, score = (np.concatenate(c) if out else np.empty(0) for c in (zip(*out, strict=True) if out else ((),) * 5))
-        arrays = [rows.column("id"), pa.array(n_bytes.astype(np.int64)), pa.array(tokens.astype(np.int64)), pa.array(n_known.astype(np.int64)), pa.array(base), pa.array(score)]
+            out.append((n, w + 1, np.diff(seen[upto]) + known[-1], np.diff(sums[upto]) + logs[-1], score))
+        n, tokens, n_known, base, score = (np.concatenate(c) for c in zip(*out, strict=True))
+        arrays = [rows.column("id"), pa.array(n.astype(np.int64)), pa.array(tokens.astype(np.int64)), pa.array(n_known.astype(np.int64)), pa.array(base), pa.array(score)]
         return pa.table(arrays, names=["id", "n_symbols", "n_tokens", "n_known", "logs", "score"])
 
     schema = f"id {id_type}, n_symbols bigint, n_tokens bigint, n_known bigint, logs double, score double"
@@ -323,7 +349,7 @@ def score_texts(df: DataFrame, train: Column, id_col: str = "doc_id", text_col:
     chunked = source.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))
     requests = materialize(_requests(chunked, shards, depth), "requests")
     top, tokens, distinct = _top(requests, depth)
-    rows = _scored(chunked, _answers(requests, top, depth), df.schema[id_col].dataType.simpleString(), depth)
+    rows = _scored(chunked, _answers(requests, top, depth), df.schema[id_col].dataType.simpleString(), shards, depth)
     base = F.col("logs") - F.col("n_tokens") * math.log10(tokens + 0.5 * (distinct + 1))
     bits = -F.col("score") * math.log2(10) / F.col("n_symbols")
     return rows.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(int(tokens)).cast("long").alias("train_tokens"), base.alias("base_score"), "score", bits.alias("bits_per_byte"))
