@@ -6,7 +6,7 @@ lists. Classes that share values there are candidates; the bottom of the union o
 Jaccard similarity and filters; full sets confirm.
 
 Lists. For two sets above the threshold each of the smallest values of their union is in both with a probability of
-at least the threshold, so sharing none of ``INDEX`` values has a chance of about 0.25^16. A list of at most ``LIST``
+at least the threshold, so sharing fewer than ``SHARED`` of ``INDEX`` values has a chance of about 4e-6. A list of at most ``LIST``
 classes gives all its pairs. A longer list is hot: it gives one pair per class, with a class picked for this list. A class
 with over a quarter of its values in hot lists may have its links there only. While a hot list holds several components, its classes
 outside the largest meet further picked members of the largest, in a few rounds; those still outside meet the whole
@@ -26,7 +26,9 @@ from .sketch import SHINGLE_WORDS, shingle_hashes
 #: Values in a sketch, values of it that are indexed, classes in a list from which it is hot, hot share of a hot class.
 SKETCH, INDEX, LIST, HOT_SHARE = 32, 16, 32, 0.25
 #: Rounds in which classes outside a hot list's largest component meet that many picked members of it.
-ROUNDS, PICKED = 3, 8
+ROUNDS, PICKED = 4, 2
+#: Indexed values that a pair shares at least; hot ones, which are not counted, are taken as shared.
+SHARED = 4
 #: Estimates below the threshold by more than this many standard deviations of the estimate are dropped.
 DEVIATIONS = 4.5
 
@@ -59,11 +61,15 @@ def _sizes_fit(a: str, b: str, part: int, whole: int):
 
 def _candidates(lists: DataFrame, part: int, whole: int) -> DataFrame:
     """Distinct pairs ``a < b`` from inverted lists, with the number of shared values."""
-    cool = lists.where(F.col("listed") <= LIST).select("value", "class", "n")
+    cool = lists.where(F.col("listed") <= LIST).select("value", "class", "n", "hot_values")
     other = cool.select("value", F.col("class").alias("b"), F.col("n").alias("m"))
-    cold = cool.join(other, "value").where((F.col("class") < F.col("b")) & _sizes_fit("n", "m", part, whole)).select(F.col("class").alias("a"), "b")
+    cold = cool.join(other, "value").where((F.col("class") < F.col("b")) & _sizes_fit("n", "m", part, whole)).select(F.col("class").alias("a"), "b", "n", "hot_values")
+    counted = cold.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"), F.first("hot_values").alias("hot_values"))
+    enough = F.least(F.lit(SHARED), F.ceil(F.col("n") * part / whole))  # a small set is indexed whole
+    counted = counted.where(F.col("shared") + F.col("hot_values") >= enough).select("a", "b", "shared")
     hot = lists.where((F.col("listed") > LIST) & F.col("hot") & (F.col("class") != F.col("picked"))).select(F.least("class", "picked").alias("a"), F.greatest("class", "picked").alias("b"))
-    return cold.unionByName(hot).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    hot = hot.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    return counted.unionByName(hot).groupBy("a", "b").agg(F.sum("shared").alias("shared"))
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, part: int, whole: int) -> DataFrame:
@@ -100,8 +106,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     values = classes.select("class", "n", F.explode(F.slice("sketch", 1, INDEX)).alias("value"))
     listed = values.groupBy("value").agg(F.count(F.lit(1)).alias("listed"), F.min(F.struct(F.xxhash64("class", "value"), "class"))["class"].alias("picked")).where("listed > 1")
     rows = values.join(listed, "value")
-    hot = rows.where(F.col("listed") > LIST).groupBy("class").agg((F.count(F.lit(1)) > F.least(F.first("n"), F.lit(INDEX)) * HOT_SHARE).alias("hot")).where("hot")
-    lists = materialize(rows.join(hot, "class", "left").withColumn("hot", F.coalesce("hot", F.lit(False))), "lists")
+    hot = rows.where(F.col("listed") > LIST).groupBy("class").agg(F.count(F.lit(1)).alias("hot_values"))
+    lists = rows.join(hot, "class", "left").withColumn("hot_values", F.coalesce("hot_values", F.lit(0)))
+    lists = materialize(lists.withColumn("hot", F.col("hot_values") > F.least("n", F.lit(INDEX)) * HOT_SHARE), "lists")
     pairs = materialize(_estimated(_candidates(lists, part, whole), classes, part, whole), "candidates")
 
     involved = lists.where((F.col("listed") > LIST) & F.col("hot")).select("class").unionByName(pairs.select(F.col("a").alias("class"))).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
@@ -115,15 +122,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = materialize(_verified(best, sets, part, whole), "links")
     groups = components(links)
     rest = _parted(pairs.join(best, ["a", "b"], "left_anti"), groups)
-    links = materialize(links.unionByName(_verified(rest, sets, part, whole)), "links")
-    groups = components(links)
+    more = materialize(_verified(rest, sets, part, whole), "links")
+    if not more.isEmpty():
+        groups = components(links.unionByName(more))
     for turn in range(ROUNDS + 1):
         outside = materialize(_outside(lists, groups), "outside")
         if outside.isEmpty():
             break
         meet = _picked(lists, outside, groups, turn) if turn < ROUNDS else _whole_lists(lists, outside, groups)
-        links = materialize(links.unionByName(_verified(_estimated(meet, classes, part, whole), sets, part, whole)), "links")
-        groups = components(links)
+        more = materialize(_verified(_estimated(meet, classes, part, whole), sets, part, whole), "links")
+        if not more.isEmpty():
+            # What is known of the groups stands for the links that made them.
+            groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     named = signed.join(groups.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = named.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))

@@ -212,7 +212,7 @@ def _block_cores(rows: DataFrame, block: int, size: int) -> DataFrame:
 def _refined(hot: DataFrame, size: int) -> DataFrame:
     """``anchor, content, spans`` for segments of hot anchors, by ever smaller blocks whose core occurs again."""
     rows = hot.withColumn("high", F.col("offset")).withColumn("low", F.col("offset") - (F.length("bytes") - size))
-    for block in BLOCKS:
+    for block in [b for b in BLOCKS if b == 1 or 2 * b <= size]:  # a block's windows must have bytes in common
         cores = materialize(_block_cores(rows, block, size), "cores")
         again = cores.groupBy("core").agg(F.sum("n").alias("total")).where("total > 1").select("core")
         rows = cores.join(again, "core", "left_semi")
