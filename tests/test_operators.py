@@ -96,14 +96,26 @@ def test_encoders(spark):
     assert encode.narrow_types(ints).collect() == ints.collect()
 
 
-def test_lookup_salted_equals_broadcast(spark):
-    df = spark.range(2000).select(
-        "id", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50).alias("k"), F.lit(1).alias("one")
-    )
-    table = df.groupBy("k").agg(F.sum("id").alias("s"))
-    small = lookup.lookup_join(df, table, ["k"]).orderBy("id").collect()
-    salted = lookup.lookup_join(df, table, ["k"], max_rows=5).select("k", "id", "one", "s").orderBy("id").collect()
-    assert small == salted
+def test_one_hot_keeps_clashing_values_apart(spark):
+    rows = [("a.b", "C"), ("a_b", "c"), ("nan", "C"), (None, "c"), ("Y", None), ("y", "C")]
+    df = spark.createDataFrame(rows, "A string, A_B string").withColumn("c_nan", F.lit(1))
+    wide, new = encode.one_hot(df.withColumnRenamed("A", "c"))
+    assert len(new) == len({n.lower() for n in new}) == 6 + 3 and "c_nan" not in new
+    made = [r.asDict() for r in wide.collect()]
+    assert all(sum(r[n] for n in new) == 2 for r in made) and all(r["c_nan"] == 1 for r in made)
+    joined, new = encode.one_hot(spark.createDataFrame([("B_C", "C"), ("x", "y")], "A string, A_B string"), missing_column=False)
+    assert len(set(new)) == 4 and all(sum(r) == 2 for r in joined.collect())
+
+
+def test_many_categories_and_groups(spark):
+    df = spark.range(40_000).select("id", F.concat(F.lit("v"), F.lpad((F.col("id") % 5000).cast("string"), 4, "0")).alias("c"), (F.col("id") % 20_000).alias("g"))
+    assert encode.ordinal_encode(df, ["c"]).where(F.col("c") != F.col("id") % 5000).count() == 0
+    shares = rollup.category_share_long(df.withColumn("g", F.col("id") % 2), "g", "c")
+    assert shares.count() == 5000 and shares.where(F.abs(F.col("share") - 1 / 2500) > 1e-12).count() == 0
+    both = lookup.group_stats(df.withColumn("x", F.col("g").cast("double")), ["g"], ["x"])
+    assert both.count() == 40_000 and both.where((F.col("g_x_f1_mean") != F.col("g")) | (F.col("g_x_f1_std") != 0)).count() == 0
+    medians = lookup.group_median(df, "g", "id", "m")
+    assert medians.where(F.col("m") != F.col("g") + 10_000).count() == 0
 
 
 def test_group_statistics(spark):

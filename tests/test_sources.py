@@ -38,8 +38,8 @@ def test_metadata_files(spark, tmp_path):
     train, test = tmp_path / "p1.csv", tmp_path / "p2.csv"
     train.write_text("SK_ID_CURR,fold_id,TARGET\n1,0,0.5\n")
     test.write_text("SK_ID_CURR,TARGET\n2,0.25\n")
-    got = files.read_predictions(spark, [str(train), str(test)], "SK_ID_CURR", "nept").orderBy("SK_ID_CURR").collect()
-    assert [tuple(r) for r in got] == [(1, "nept", 0.5), (2, "nept", 0.25)]
+    got = files.read_predictions(spark, [str(train), str(test)], "SK_ID_CURR", "other").orderBy("SK_ID_CURR").collect()
+    assert [tuple(r) for r in got] == [(1, "other", 0.5), (2, "other", 0.25)]
 
 
 def test_sinks(spark, tmp_path):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .ordered import exact_quantiles, with_interval
@@ -18,8 +19,8 @@ def string_columns(df: DataFrame, skip: list[str] | None = None) -> list[str]:
 def vocabulary(df: DataFrame, columns: list[str], limit: int = MAX_CATEGORIES) -> dict[str, list[str]]:
     """Sorted values per string column from the full table, in one pass.
 
-    Each value becomes a column later, so more than ``limit`` of them is an error
-    rather than something to truncate.
+    Only for encodings with a column for each value: more than ``limit`` of them is
+    an error, never truncated.  Ordinal codes and long shares need no vocabulary.
     """
     if not columns:
         return {}
@@ -41,28 +42,65 @@ def indicator_name(column: str, value: str) -> str:
     return f"{column}_{value}".replace(".", "_").replace("`", "_")
 
 
+def indicator_names(
+    columns: list[str], vocab: dict[str, list[str]], missing_column: bool, taken: list[str] | None = None
+) -> dict[tuple[str, str | None], str]:
+    """A name of its own for every (column, value), None standing for missing.
+
+    Names that differ in case only, or meet after dots are replaced, are one name to
+    Spark.  The missing columns have theirs first; the others follow in sorted order,
+    and one that finds its name taken gets the suffix ``__2``, ``__3`` and so on.
+    """
+    used = {c.lower() for c in taken or []}
+    names: dict[tuple[str, str | None], str] = {}
+    wanted: list[tuple[str, str | None, str]] = [(c, None, f"{c}_nan") for c in columns] if missing_column else []
+    wanted += [(c, v, indicator_name(c, v)) for c in columns for v in vocab[c]]
+    for c, v, name in wanted:
+        chosen, n = name, 1
+        while chosen.lower() in used:
+            n += 1
+            chosen = f"{name}__{n}"
+        used.add(chosen.lower())
+        names[c, v] = chosen
+    return names
+
+
 def one_hot(
     df: DataFrame,
     columns: list[str] | None = None,
     missing_column: bool = True,
     vocab: dict[str, list[str]] | None = None,
 ) -> tuple[DataFrame, list[str]]:
-    """Replace string columns by 0/1 columns ``<col>_<value>`` (and ``<col>_nan``)."""
+    """Replace string columns by 0/1 columns ``<col>_<value>`` (and ``<col>_nan``).
+
+    Every value of the vocabulary has a column, whatever its name clashes with.
+    """
     columns = string_columns(df) if columns is None else columns
     vocab = vocabulary(df, columns) if vocab is None else vocab
+    kept = [c for c in df.columns if c not in set(columns)]
+    names = indicator_names(columns, vocab, missing_column, kept)
     added = {}
     for c in columns:
         for v in vocab[c]:
-            added[indicator_name(c, v)] = F.col(c).eqNullSafe(F.lit(v)).cast("int")
+            added[names[c, v]] = F.col(c).eqNullSafe(F.lit(v)).cast("int")
         if missing_column:
-            added[f"{c}_nan"] = F.col(c).isNull().cast("int")
-    kept = [F.col(c) for c in df.columns if c not in set(columns)]
+            added[names[c, None]] = F.col(c).isNull().cast("int")
     return df.select(*kept, *[e.alias(n) for n, e in added.items()]), list(added)
 
 
 def ordinal_encode(df: DataFrame, columns: list[str], vocab: dict[str, list[str]] | None = None) -> DataFrame:
-    """Alphabetical 0-based codes; missing (or unseen) values become -1."""
-    vocab = vocabulary(df, columns) if vocab is None else vocab
+    """Alphabetical 0-based codes; missing (or unseen) values become -1.
+
+    Without ``vocab`` the distinct values are ranked and joined back, however many they are.
+    """
+    if vocab is None:
+        for c in columns:
+            own = df.select(F.col(c)).where(F.col(c).isNotNull()).distinct()
+            ranked = own.withColumn("__code", F.row_number().over(W.orderBy(c)) - 1)
+            df = df.join(ranked, on=c, how="left").select(
+                *[F.coalesce("__code", F.lit(-1)).cast("int").alias(c) if n == c else F.col(n) for n in df.columns]
+            )
+        return df
 
     def code(c: str):
         place = F.array_position(F.array(*[F.lit(v) for v in vocab[c]]).cast("array<string>"), F.col(c))

@@ -6,31 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .ordered import MAX_CONSTANT_ROWS, bounded, exact_median
+from .ordered import exact_median
 
-SALTS = 16
 
-
-def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    keys: list[str],
-    max_rows: int = MAX_CONSTANT_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
+def lookup_join(df: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
     """Left join to a table with one row per key.
 
-    Up to ``max_rows`` keys the lookup is read once and broadcast as a constant
-    table.  Beyond that it is shuffled, replicated over salts so that the rows of
-    one hot key spread over that many tasks.
+    A plain equi-join whatever the sizes: adaptive execution broadcasts a lookup that turns out
+    small, and splits the rows of a hot key where it does not.
     """
-    small = bounded(lookup, max_rows)
-    if small is not None:
-        return df.join(F.broadcast(small), on=keys, how="left")
-    others = [c for c in df.columns if c not in keys] or keys
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, on=[*keys, "__salt"], how="left").drop("__salt")
+    return df.join(lookup, on=keys, how="left")
 
 
 def group_stats(
@@ -48,16 +33,14 @@ def group_stats(
     stats = source.groupingSets([[c] for c in categories], *categories).agg(
         *aggregates, F.grouping_id().alias("__set")
     )
-    constant = bounded(stats)
     out = df
     for i, c in enumerate(categories):
         only = (1 << len(categories)) - 1 - (1 << (len(categories) - 1 - i))
         named = [
             F.col(f"__{tag}_{v}").alias(f"{c}_{v}_f1_{name}") for v in values for tag, name in (("m", "mean"), ("s", "std"))
         ]
-        chosen = stats if constant is None else constant
-        mine = chosen.where((F.col("__set") == only) & F.col(c).isNotNull()).select(c, *named)
-        out = lookup_join(out, mine, [c]) if constant is None else out.join(F.broadcast(mine), on=c, how="left")
+        mine = stats.where((F.col("__set") == only) & F.col(c).isNotNull()).select(c, *named)
+        out = lookup_join(out, mine, [c])
     return out
 
 

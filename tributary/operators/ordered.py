@@ -18,20 +18,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 _INF = float("inf")
-MAX_CONSTANT_ROWS = 10_000
-
-
-def bounded(df: DataFrame, max_rows: int = MAX_CONSTANT_ROWS) -> DataFrame | None:
-    """``df`` as a constant table if it has at most ``max_rows`` rows, else None."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
+#: Rows that one cell, and so one window task, is meant to hold.
+ROWS_PER_CELL = 1_000_000
 
 
 def default_cells(df: DataFrame) -> int:
+    """Cells for about ``ROWS_PER_CELL`` rows each, and at least two for each shuffle partition; no upper limit."""
     shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(64, min(2 * shuffles, 2000))
+    return max(64, 2 * shuffles, -(-df.count() // ROWS_PER_CELL))
 
 
 def cell_bounds(df: DataFrame, columns: list[str], cells: int) -> dict[str, list[float]]:
@@ -86,8 +80,8 @@ def running_total(
     used for bounds and cell totals.  Both are read more than once and must be
     deterministic.
     """
-    cells = cells or default_cells(df)
     source = df if source is None else source
+    cells = cells or default_cells(source)
     cuts = cell_bounds(source, [order] + ([tie_break] if tie_break else []), cells)
     heavy = [v for v, n in Counter(b + 0.0 for b in cuts[order]).items() if n > 1] if tie_break else []
 
@@ -138,13 +132,12 @@ def exact_quantiles(
     """Exact interpolated quantiles k/parts per group: rows ``(by..., k, q)``.
 
     Three narrow passes instead of one big sort.  A sketch gives cell bounds, counts
-    per cell show which cells hold the wanted ranks, and only the rows of those
-    cells are counted by value, shuffled and ranked.  A hot group or value shrinks
-    to counts before it moves.
+    per cell show which cells hold the wanted ranks, and only the values of those
+    cells are ranked.  A hot group or value shrinks to counts before it moves.
     """
     by = by or []
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__value"))
-    cuts = cell_bounds(rows, ["__value"], cells or default_cells(df))
+    cuts = cell_bounds(rows, ["__value"], cells or default_cells(rows))
     tagged = with_interval(rows, "__value", cuts["__value"], "__c")
 
     group = W.partitionBy(*[F.col(c) for c in by]) if by else W.partitionBy(F.lit(0))
@@ -159,13 +152,8 @@ def exact_quantiles(
     )
     same = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(by)] + [F.col("__c") == F.col("__wc")]
     count = F.count(F.lit(1)).alias("__n")
-    small = bounded(wanted)
-    if small is not None:
-        narrowed = tagged.join(F.broadcast(small), on=same)
-        counts = narrowed.groupBy(*by, "__c", "__base", "__m", "__value").agg(count)
-    else:
-        # Too many groups to broadcast: collapse repeated values before they are shuffled.
-        counts = tagged.groupBy(*by, "__c", "__value").agg(count).join(wanted, on=same)
+    # Repeated values collapse before they are shuffled, and only cells with a wanted rank go on.
+    counts = tagged.groupBy(*by, "__c", "__value").agg(count).join(wanted, on=same)
     inside = W.partitionBy(*by, "__c").orderBy("__value").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = counts.withColumn("__hi", F.col("__base") + F.sum("__n").over(inside) - 1).withColumn(
         "__lo", F.col("__hi") - F.col("__n") + 1

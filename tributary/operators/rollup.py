@@ -25,6 +25,16 @@ def category_share(df: DataFrame, key: str, column: str, values: list[str], pref
     )
 
 
+def category_share_long(df: DataFrame, key: str, column: str) -> DataFrame:
+    """``key, value, share`` of each value that an entity has; needs no vocabulary.
+
+    Two counts by hash, the second over pre-aggregated rows.
+    """
+    counts = df.groupBy(key, F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("__n"))
+    totals = counts.groupBy(key).agg(F.sum("__n").alias("__all"))
+    return counts.join(totals, on=key).select(key, "value", (F.col("__n") / F.col("__all")).alias("share"))
+
+
 def max_then_sum(df: DataFrame, key: str, child_key: str, value: str, out: str) -> DataFrame:
     per_child = df.groupBy(key, child_key).agg(F.max(value).alias("__v"))
     return per_child.groupBy(key).agg(F.coalesce(F.sum("__v"), F.lit(0)).alias(out))

@@ -29,7 +29,6 @@ from ..sources.tables import (
     labelled_documents,
     line_history,
     order_history,
-    spread_scan,
     table,
 )
 from . import credit
@@ -119,7 +118,8 @@ def recency_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def recency_prev(spark: SparkSession, sf: str) -> DataFrame:
-    recent = line_history(spark, sf).where(within("DAYS_INSTALMENT", 90, strict=True))
+    # DAYS_INSTALMENT lies 30 days after the order, so the window is a bound on the order date that the scan can use.
+    recent = line_history(spark, sf).where(since("o_orderdate", ORDER_ANCHOR, 90 + 30, strict=True))
     return recent.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "DAYS_INSTALMENT", "l_extendedprice")
 
 
@@ -148,13 +148,13 @@ _ROW_COLUMNS = ["l_quantity", "l_linenumber", "l_discount", "l_tax"]
 
 
 def row_kurtosis_query(spark: SparkSession, sf: str) -> DataFrame:
-    lines = spread_scan(table(spark, sf, "lineitem"))
+    lines = table(spark, sf, "lineitem")
     made = with_row_kurtosis(lines, _ROW_COLUMNS, "kurt")
     return made.select(*_LINE_ID, "l_extendedprice", rounded("kurt", 6).alias("kurt"))
 
 
 def row_stats(spark: SparkSession, sf: str) -> DataFrame:
-    lines = spread_scan(table(spark, sf, "lineitem")).select(
+    lines = table(spark, sf, "lineitem").select(
         *_LINE_ID,
         "l_extendedprice",
         sentinel_to_null("l_quantity", 50.0).alias("a"),
@@ -208,7 +208,7 @@ def payment_features_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def quantile_bins(spark: SparkSession, sf: str) -> DataFrame:
-    lines = spread_scan(table(spark, sf, "lineitem").select(*_LINE_ID, "l_extendedprice", "l_discount", "l_quantity"))
+    lines = table(spark, sf, "lineitem").select(*_LINE_ID, "l_extendedprice", "l_discount", "l_quantity")
     codes = {"l_discount": "discount_bin", "l_extendedprice": "price_bin", "l_quantity": "quantity_bin"}
     binned = encode.quantile_bin(lines, codes, 100)
     return binned.select(
@@ -226,6 +226,14 @@ def one_hot_query(spark: SparkSession, sf: str) -> DataFrame:
     return encode.one_hot(orders)[0]
 
 
+def one_hot_clash(spark: SparkSession, sf: str) -> DataFrame:
+    """Values whose column names would meet: in dots, in case, and in the name for missing."""
+    first = F.substring("o_orderpriority", 1, 1)
+    made = F.when(first == "1", "a.b").when(first == "2", "a_b").when(first == "3", "nan").when(first == "5", "A_b")
+    orders = table(spark, sf, "orders").select("o_orderkey", made.alias("p"))
+    return encode.one_hot(orders)[0]
+
+
 def narrow_query(spark: SparkSession, sf: str) -> DataFrame:
     parts = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
     return encode.narrow_types(parts)
@@ -575,7 +583,7 @@ def select_features(spark: SparkSession, sf: str) -> DataFrame:
 
 def _model_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
     """Numeric features of the whole document text, with the label where known."""
-    docs = spread_scan(labelled_documents(spark, sf))
+    docs = labelled_documents(spark, sf)
     words = F.split(F.trim("text"), r"\s+")
     made = docs.select(
         "doc_id",
@@ -673,6 +681,7 @@ QUERIES = {
     "quantile_bins": quantile_bins,
     "ordinal_encode": ordinal_query,
     "one_hot": one_hot_query,
+    "one_hot_clash": one_hot_clash,
     "narrow_types": narrow_query,
     "hist_agg": hist_agg,
     "windowed_agg": windowed_query,

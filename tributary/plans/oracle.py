@@ -220,6 +220,10 @@ SELECT {LINE_ID}, l_extendedprice, d_v.code AS discount_bin, p_v.code AS price_b
 FROM lineitem JOIN d_v ON d_v.x = l_discount JOIN p_v ON p_v.x = l_extendedprice JOIN q_v ON q_v.x = l_quantity""",
     "ordinal_encode": """SELECT c_custkey, CAST(dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS INTEGER) AS c_mktsegment
 FROM customer""",
+    "one_hot_clash": """SELECT o_orderkey, CAST(p = 'A_b' AS INTEGER) AS "p_A_b", CAST(p = 'a.b' AS INTEGER) AS "p_a_b__2",
+  CAST(p = 'a_b' AS INTEGER) AS "p_a_b__3", CAST(p = 'nan' AS INTEGER) AS "p_nan__2", CAST(p = '' AS INTEGER) AS p_nan
+FROM (SELECT o_orderkey, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'a.b' WHEN '2' THEN 'a_b' WHEN '3' THEN 'nan' WHEN '5' THEN 'A_b' ELSE '' END AS p
+  FROM orders)""",
     "one_hot": "SELECT o_orderkey, "
     + ", ".join(
         f"CAST(coalesce({c} = '{v}', FALSE) AS INTEGER) AS \"{c}_{v}\""

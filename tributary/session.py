@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,19 +26,15 @@ def local_session(cores: str = "*", app: str = "tributary", partitions: int = 8)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A machine-local temporary folder is only ever chosen when the master is local.
+    Where nothing is named, a folder under ``spark.sql.warehouse.dir``, which executors share
+    like any table.  Spark's own checkpoints go there too.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    known = spark.sparkContext.getCheckpointDir()
-    if known:
-        return known.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    chosen = tempfile.mkdtemp(prefix="tributary-")
-    spark.sparkContext.setCheckpointDir(chosen)
-    return chosen
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
 
 
 def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

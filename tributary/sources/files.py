@@ -14,10 +14,12 @@ from pyspark.sql import types as T
 from ..functions.nulls import nan_to_null
 
 _BATCH = 50_000
+# Fields that mean a missing value, in plain and in zipped CSV alike.
+MISSING = ["", "NaN", "nan", "NA", "null"]
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None, rows: int | None = None) -> DataFrame:
-    """CSV with a header; NaN and empty become NULL.
+    """CSV with a header; empty fields and those of ``MISSING`` become NULL in every column.
 
     With a schema the scan is lazy and pruned; without one Spark infers types in
     an extra pass.  ``rows`` is the debugging cap.
@@ -30,6 +32,8 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None =
     else:
         df = reader.option("enforceSchema", False).schema(schema).csv(path)
     df = nan_to_null(df)
+    text = [c for c, t in df.dtypes if t == "string"]
+    df = df.withColumns({c: F.when(~F.col(f"`{c}`").isin(MISSING), F.col(f"`{c}`")) for c in text}) if text else df
     return df.limit(rows) if rows else df
 
 
@@ -59,10 +63,9 @@ def stage_zip(spark: SparkSession, archives: str | list[str], schema: str | T.St
 
     files = spark.read.format("binaryFile").load(archives).select("content")
     rows = files.mapInPandas(unpack, text)
-    missing = ["", "NaN", "nan", "NA", "null"]
     typed = rows.select(
         *[
-            F.when(F.col(f.name).isin(missing), F.lit(None)).otherwise(F.col(f.name)).try_cast(f.dataType).alias(f.name)
+            F.when(F.col(f.name).isin(MISSING), F.lit(None)).otherwise(F.col(f.name)).try_cast(f.dataType).alias(f.name)
             for f in target.fields
         ]
     )
@@ -70,11 +73,9 @@ def stage_zip(spark: SparkSession, archives: str | list[str], schema: str | T.St
     return spark.read.schema(target).parquet(out)
 
 
-def read_names(spark: SparkSession, path: str, limit: int = 100_000) -> list[str]:
-    """Feature names, one per line (plan-time metadata)."""
-    rows = spark.read.text(path).where(F.trim("value") != "").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{path} holds more than {limit} names")
+def read_names(spark: SparkSession, path: str) -> list[str]:
+    """Feature names, one per line: columns of a plan, so they are read when it is made."""
+    rows = spark.read.text(path).where(F.trim("value") != "").collect()
     return [r["value"].strip() for r in rows]
 
 
