@@ -84,9 +84,9 @@ class Level:
     """The binary nodes of one depth and bit: sorted keys (context, bits so far), counts and weights."""
 
     def __init__(self, keys: np.ndarray, zeros: np.ndarray, ones: np.ndarray):
-        self.keys, self.zeros, self.ones = keys, zeros, ones
-        self.own = log_kt(zeros, ones)
-        self.estimate = (ones + 0.5) / (zeros + ones + 1)
+        self.keys, self.zeros, self.ones = keys, zeros.astype(float), ones.astype(float)
+        self.own = log_kt(self.zeros, self.ones)
+        self.estimate = (self.ones + 0.5) / (self.zeros + self.ones + 1)
 
     def weigh(self, below: np.ndarray | None) -> None:
         """``below``: log-probability of all children together, none at the greatest depth."""
@@ -311,10 +311,10 @@ def _scored(chunked: DataFrame, answers: DataFrame, id_type: str, shards: int, d
             out[dealt(keys, kind, shards)[0]] = np.frombuffer(b"".join(own.column("values").to_pylist()), float if kind == WORDS else np.float32)
             return out
 
-        symbols = np.unique(np.concatenate([s[0] for s in steps]))
+        symbols, _ = _numbered(np.concatenate([s[0] for s in steps]))
         log_p = values_of(BYTES, symbols)
         hashes = np.append(_hashes(table), END_WORD)
-        words, at = np.unique(hashes, return_inverse=True)
+        words, at = _numbered(hashes)
         counts = values_of(WORDS, words)[at]
         known, logs = counts > 0, np.log10(counts + 0.5)
         out = []
