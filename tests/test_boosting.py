@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tributary.operators import boosting, importance
 from tributary.operators.validation import auc
 from tributary.plans import credit
+from tributary.sources import files
 
 FEATURES = ["signal", "noise", "gap"]
 
@@ -63,7 +64,7 @@ def test_early_stopping_and_weights(spark, planted):
 
 def test_null_importance_selection(spark, planted):
     table = planted.withColumnRenamed("id", "SK_ID_CURR").withColumnRenamed("y", "TARGET")
-    found = credit.null_importances(table, small(boosting.DEPTHWISE), folds=4, early_stopping=False, parallelism=4)
+    found = credit.null_importances(table, small(boosting.DEPTHWISE), folds=4, early_stopping=False, parallelism=4, kind="gain")
     assert found.groupBy("run").count().count() == 2
     kept, tested = credit.select_by_null_importance(table, found, require_gain=True)
     assert "signal" in kept.columns and "noise" not in kept.columns
@@ -85,6 +86,11 @@ def test_credit_levels_end_to_end(spark, tmp_path):
     rows = level2.select("SK_ID_CURR", "TARGET", "xgb", "cat").toPandas()
     assert len(rows) == 79 and rows[["xgb", "cat"]].notna().all().all()
     assert spark.read.parquet(f"{tmp_path}/level1/metrics").count() == 6
+    # What training writes is what pruning reads: counts, with 0 for features that never split.
+    written = files.read_importance(spark, f"{tmp_path}/level1/fimp_xgb")
+    assert written.count() == len(level1.columns) - 2
+    pruned = credit.level1_matrix(tables, prior_importance=written, threshold=0.0)
+    assert 2 < len(pruned.columns) <= len(level1.columns)
     narrowed = level2.select("SK_ID_CURR", "TARGET", "xgb", "cat", "f70", "CODE_GENDER")
     again = credit.train_models(narrowed, [small(boosting.LEAFWISE, 2)], 2, early_stopping=False)
     assert again["lgb"].oof.count() == rows["TARGET"].notna().sum()

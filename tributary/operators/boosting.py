@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import fill_for_trees
 from ..session import materialize, shared_dir
+from .importance import split_counts
 from .validation import auc, hash_fold
 
 
@@ -48,8 +50,20 @@ class CrossValidation:
     oof: DataFrame  # key, fold, label, model, score
     test: DataFrame  # key, model, score (mean over the fold models)
     importance: DataFrame  # model, feature, fold, importance (gain share)
-    nodes: DataFrame  # model, fold, tree, node, left, right, gain, rows, feature
     features: list[str]
+    models: list[GBTClassificationModel]
+    preset: Preset
+
+    @cached_property
+    def nodes(self) -> DataFrame:
+        """Model, fold, tree, node, left, right, gain, rows, feature; the models are saved when this is first read."""
+        return _nodes(self.models, self.features, self.preset)
+
+    @cached_property
+    def splits(self) -> DataFrame:
+        """Model, feature, fold, importance: how often a feature splits, 0 where it never does."""
+        every = self.importance.select("model", "feature", "fold")
+        return every.join(split_counts(self.nodes), ["feature", "fold"], "left").fillna(0.0, ["importance"])
 
     def predictions(self, key: str) -> DataFrame:
         """Train and test scores in one table, ready to be stacked."""
@@ -146,7 +160,8 @@ def cross_validate(
     importance = spark.createDataFrame(
         shares, "model string, feature string, fold int, importance double"
     )
-    return CrossValidation(oof, test_scores, importance, _nodes(models, features, preset), features)
+    # Scores are read for several metrics and for stacking: written once, the models run once.
+    return CrossValidation(materialize(oof, f"oof-{preset.name}"), test_scores, importance, features, models, preset)
 
 
 def _nodes(models: list[GBTClassificationModel], features: list[str], preset: Preset) -> DataFrame:

@@ -621,10 +621,8 @@ def oof_gbt(spark: SparkSession, sf: str) -> DataFrame:
 
 def importance_long(spark: SparkSession, sf: str) -> DataFrame:
     cv = _run(spark, sf, boosting.DEPTHWISE)
-    splits = importance.split_counts(cv.nodes).select(
-        "feature", "fold", F.col("importance").alias("splits")
-    )
-    return cv.importance.join(splits, ["feature", "fold"], "left").fillna(0.0, ["splits"])
+    splits = cv.splits.select("feature", "fold", F.col("importance").alias("splits"))
+    return cv.importance.join(splits, ["feature", "fold"])
 
 
 def tree_interactions(spark: SparkSession, sf: str) -> DataFrame:

@@ -446,8 +446,10 @@ def train_models(
         if out:
             sinks.write_submission(cv.test, KEY, f"{out}/{run}/submission_{preset.name}")
             sinks.write_oof(cv.oof, f"{out}/{run}/oof_{preset.name}")
-            sinks.write_mean_importance(cv.importance, f"{out}/{run}/fimp_{preset.name}")
-            sinks.write_table(importance.to_wide(cv.importance, folds), f"{out}/{run}/fimp_folds_{preset.name}")
+            # Split counts are what the pruning threshold and the selection step read; gain shares are there besides.
+            for kind, table in (("fimp", cv.splits), ("gain", cv.importance)):
+                sinks.write_mean_importance(table, f"{out}/{run}/{kind}_{preset.name}")
+                sinks.write_table(importance.to_wide(table, folds), f"{out}/{run}/{kind}_folds_{preset.name}")
             sinks.append_metrics(boosting.auc_log(run, cv.oof), f"{out}/{run}/metrics")
     return done
 
@@ -458,17 +460,28 @@ def null_importances(
     folds: int = 12,
     permutations: int = 1,
     seed: int = 1001,
+    kind: str = "splits",
     **options,
 ) -> DataFrame:
-    """Importances ``(run, feature, fold, importance)`` on real and permuted labels."""
+    """Importances ``(run, feature, fold, importance)`` on real and permuted labels.
+
+    ``kind`` is ``splits`` (how often a feature splits) or ``gain`` (its share of the gain).
+    """
+    if kind not in ("splits", "gain"):
+        raise ValueError(f"kind is splits or gain, not {kind!r}")
+
+    def importances(rows: DataFrame) -> DataFrame:
+        cv = boosting.cross_validate(rows, KEY, LABEL, features, preset, folds, **options)
+        return cv.splits if kind == "splits" else cv.importance
+
     features = assemble.feature_columns(matrix)
     table = materialize(matrix, "selection")
-    runs = boosting.cross_validate(table, KEY, LABEL, features, preset, folds, **options).importance
+    runs = importances(table)
     out = runs.withColumn("run", F.lit("actual"))
     for p in range(permutations):
         labels = selection.permute_label(table.select(KEY, LABEL), KEY, LABEL, seed + p)
         shuffled = table.drop(LABEL).join(labels, KEY, "left")
-        null = boosting.cross_validate(shuffled, KEY, LABEL, features, preset, folds, **options).importance
+        null = importances(shuffled)
         out = out.unionByName(
             null.withColumn("run", F.lit("null")).withColumn("fold", (F.col("fold") + p * folds).cast("int"))
         )
