@@ -2,7 +2,8 @@
 
 A state is the set of trie nodes that the characters read so far may stand at, each with the fewest edits that lead there.
 States and their transitions are built when a token first needs them and then kept, so a token that resembles
-no entry is left after its first few characters.
+no entry is left after its first few characters. The first letter must be right: few misspellings change it, and it keeps
+the states small.
 """
 
 from __future__ import annotations
@@ -22,8 +23,8 @@ class Entry(NamedTuple):
 
     @property
     def edits(self) -> int:
-        """Edits at which a token still counts as a misspelling: short entries and short stems allow none."""
-        return (len(self.term) >= 5) + (len(self.term) >= 9) if not self.stem else int(len(self.term) >= 6)
+        """Edits at which a token still counts as a misspelling: short entries and stems, whose endings vary anyway, allow none."""
+        return int(len(self.term) >= 5 and not self.stem)
 
 
 class FuzzyLexicon:
@@ -51,18 +52,21 @@ class FuzzyLexicon:
         self.states: list[tuple] = []
         self.steps: list[dict[str, int]] = []
         self.stems: list[tuple] = []
-        self.start = self._number({0: 0})
+        self.start = self._state({0: 0})
 
     def _number(self, nodes: dict[int, int]) -> int:
         """The state of these nodes and all that lie behind deleted characters of the lexicon."""
         waiting = list(nodes.items())
-        while waiting:
+        while waiting:  # deleted characters
             node, edits = waiting.pop()
             if nodes[node] == edits:
                 for child in self.children[node].values():
                     if edits < self.reach[child] and edits + 1 < nodes.get(child, 99):
                         nodes[child] = edits + 1
                         waiting.append((child, edits + 1))
+        return self._state(nodes)
+
+    def _state(self, nodes: dict[int, int]) -> int:
         state = tuple(sorted(nodes.items()))
         if state not in self.numbers:
             self.numbers[state] = len(self.states)
@@ -79,6 +83,8 @@ class FuzzyLexicon:
 
     def _step(self, state: int, c: str) -> int:
         after: dict[int, int] = {}
+        if state == self.start:
+            return self._number({self.children[0][c]: 0}) if c in self.children[0] else -1
         for node, edits in self.states[state]:
             moves = [(child, edits + (key != c)) for key, child in self.children[node].items()]
             for to, cost in [*moves, (node, edits + 1)]:
