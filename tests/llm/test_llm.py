@@ -320,6 +320,12 @@ def distance(a, b):
     return row[-1]
 
 
+def _same_start(word, entry):
+    """Edits behind a first letter that is right."""
+    rest, term = word[1:], entry.term[1:]
+    return min(distance(rest[:k], term) for k in range(len(rest) + 1)) if entry.stem else distance(rest, term)
+
+
 def test_fuzzy_lexicon():
     entries = [lexicon.Entry(t, s) for t, s in (("idiot", False), ("scum", False), ("worthless", False), ("veq", True), ("loweis", True))]
     match = lexicon.FuzzyLexicon(entries)
@@ -332,8 +338,7 @@ def test_fuzzy_lexicon():
         word = "".join(word)
         best = []
         for n, e in enumerate(entries):
-            d = min(distance(word[:k], e.term) for k in range(len(word) + 1)) if e.stem else distance(word, e.term)
-            if d <= e.edits:
+            if word[:1] == e.term[0] and (d := _same_start(word, e)) <= e.edits:
                 best.append((d, n))
         got = match.match(word)
         assert (got and got[::-1]) == (min(best) if best else None), word
