@@ -23,8 +23,8 @@ class Entry(NamedTuple):
 
     @property
     def edits(self) -> int:
-        """Edits at which a token still counts as a misspelling: short entries and stems, whose endings vary anyway, allow none."""
-        return int(len(self.term) >= 5 and not self.stem)
+        """Edits at which a token still counts as a misspelling: short terms and stems allow none."""
+        return int(len(self.term) >= (6 if self.stem else 5))
 
 
 class FuzzyLexicon:
