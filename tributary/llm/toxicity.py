@@ -26,8 +26,9 @@ from .lexicon import Entry, FuzzyLexicon
 
 #: Labelled rows that the model is fitted on at most: those with the smallest hash of the id.
 FIT_ROWS = 16_000
-#: Entries of the lexicon at most, toxic texts that must hold one, log-odds that it must reach.
-ENTRIES, SUPPORT, LOG_ODDS = 4_000, 4, 1.5
+#: Entries of the lexicon at most, toxic texts that must hold one, log-odds that it must reach, and how many standard
+#: deviations its number of toxic texts must lie above what chance would give.
+ENTRIES, SUPPORT, LOG_ODDS, DEVIATIONS = 4_000, 4, 1.5, 5.5
 STEM_LENGTHS = range(3, 9)
 #: Tokens of a context window, and tokens before a hit in which a reporting word makes it a quotation.
 WINDOW, REPORT = 40, 4
@@ -145,7 +146,9 @@ def _lexicon(sample: DataFrame, n: dict[int, int]) -> tuple[list[Entry], list[fl
 
     odds = F.log((F.col("toxic") + 0.5) / (n[1] + 1)) - F.log((F.col("clean") + 0.5) / (n[0] + 1))
     counted = map_arrow(sample, count, "term string, stem boolean, clean bigint, toxic bigint").groupBy("term", "stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    strong = counted.where(F.col("toxic") >= SUPPORT).withColumn("odds", odds).where(F.col("odds") >= LOG_ODDS)
+    share = n[1] / (n[0] + n[1])
+    chance = (F.col("toxic") + F.col("clean")) * share
+    strong = counted.where((F.col("toxic") >= SUPPORT) & (F.col("toxic") - chance >= DEVIATIONS * F.sqrt(chance * (1 - share)))).withColumn("odds", odds).where(F.col("odds") >= LOG_ODDS)
     rows = strong.orderBy((F.col("odds") * F.col("toxic")).desc(), "term", "stem").limit(4 * ENTRIES).collect()
     toxic = {(r.term, r.stem): r.toxic for r in rows}
     odds_of = {(r.term, r.stem): r.odds for r in rows}
