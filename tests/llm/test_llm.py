@@ -344,6 +344,37 @@ def test_fuzzy_lexicon():
         assert (got and got[::-1]) == (min(best) if best else None), word
 
 
+@pytest.mark.parametrize("listed", [24, 6])
+def test_fuzzy_lexicon_any_start(monkeypatch, listed):
+    monkeypatch.setattr(lexicon, "LISTED", listed)
+    monkeypatch.setattr(lexicon, "NODES", 4000)
+    entries = [lexicon.Entry(t, s) for t, s in (("idiot", False), ("scum", False), ("worthless", False), ("veq", True), ("loweis", True), ("x" * 26, False))]
+    match = lexicon.FuzzyLexicon(entries, first_letter=False)
+    rng = random.Random(9)
+    found = collections.Counter()
+    for _ in range(4000):
+        word = list(rng.choice([e.term for e in entries]) + rng.choice(["", "", "s", "ou", "able"]))
+        for _ in range(rng.randrange(4)):
+            i = rng.choice([0, 0, 1, rng.randrange(len(word) + 1)])
+            word[i : i + rng.randrange(2)] = rng.choice(["", "x", "e", word[0] if word else "o"])
+        word = "".join(word)
+        best = []
+        for n, e in enumerate(entries):
+            d = min(distance(word[:k], e.term) for k in range(len(word) + 1)) if e.stem else distance(word, e.term)
+            if d <= e.edits:
+                best.append((d, n))
+        got = match.match(word)
+        assert (got and got[::-1]) == (min(best) if best else None), word
+        assert not got or match.near(["other", word, "w" * 40])[-2:].count(word), word
+        found[got] += 1
+    assert all(found[n, e.edits] for n, e in enumerate(entries)) and found[None]
+
+
+def test_toxic_hits_with_a_wrong_start():
+    matcher = toxicity.Matcher([lexicon.Entry("idiot", False), lexicon.Entry("worthless", False)])
+    assert matcher.find_all(["udiot diot iidiot ddiot wrothless orthless wurthles idoit fine words"])[0][1] == set("udiot diot iidiot ddiot wrothless orthless wurthles".split())
+
+
 def toxic_table(spark, n=400):
     rng = random.Random(9)
     rows, labels = [], []

@@ -14,6 +14,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -66,28 +67,39 @@ class Matcher:
     """Finds hits; keeps the outcome for tokens it has met."""
 
     def __init__(self, entries: list[Entry]):
-        self.lexicon = FuzzyLexicon(entries)
+        self.lexicon = FuzzyLexicon(entries, first_letter=False)
         self.hits: dict[str, tuple[int, bool]] = {}
         self.clean: set[str] = set()
 
-    def find(self, text: str) -> tuple[list[str], set[str]]:
-        """All tokens, and those among them that hit."""
-        tokens = tokens_of(text)
-        distinct = set(tokens)
+    def find_all(self, texts: list[str]) -> list[tuple[list[str], set[str]]]:
+        """For each text all tokens, and those among them that hit."""
+        tokens = [tokens_of(text) for text in texts]
         if len(self.clean) > MEMO:
             self.clean = set()
-        for token in distinct.difference(self.clean, self.hits):
-            found = self.lexicon.match(fold(token))
-            if found:
+        if len(self.hits) > MEMO:
+            self.hits = {}
+        folded = {t: fold(t) for t in set().union(*tokens).difference(self.clean, self.hits)}
+        match = {f: self.lexicon.match(f) for f in self.lexicon.near(list(dict.fromkeys(folded.values())))}
+        for token, f in folded.items():
+            if found := match.get(f):
                 self.hits[token] = found[0], found[1] > 0
             else:
                 self.clean.add(token)
-        return tokens, distinct & self.hits.keys()
+        return [(t, self.hits.keys() & set(t)) for t in tokens]
 
 
-def features(text: str, matcher: Matcher, model: Model) -> tuple[list[float], int]:
-    """The figures of ``FEATURES``, and the number of hits that weigh something."""
-    tokens, hit = matcher.find(text)
+@lru_cache(maxsize=1)
+def _matcher(entries: tuple[Entry, ...]) -> Matcher:
+    """One matcher for the tasks of a worker that have these entries."""
+    return Matcher(list(entries))
+
+
+def features(texts: list[str], matcher: Matcher, model: Model) -> list[tuple[list[float], int]]:
+    """For each text the figures of ``FEATURES``, and the number of hits that weigh something."""
+    return [_figures(text, tokens, hit, matcher, model) for text, (tokens, hit) in zip(texts, matcher.find_all(texts), strict=True)]
+
+
+def _figures(text: str, tokens: list[str], hit: set[str], matcher: Matcher, model: Model) -> tuple[list[float], int]:
     weight = {}
     for token in hit:
         number, misspelled = matcher.hits[token]
@@ -172,10 +184,10 @@ def _misspelled(sample: DataFrame, entries: list[Entry], n: dict[int, int]) -> l
     """Weights of misspelled hits. Without evidence one weighs much; clean texts that hold it take the weight away."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher, counts = Matcher(entries), Counter()
+        matcher, counts = _matcher(tuple(entries)), Counter()
         for step in text_steps(batches, "text"):
-            for text, label in zip(step.column("text").to_pylist(), step.column("label").to_pylist(), strict=True):
-                found = {matcher.hits[t] for t in matcher.find(text)[1]}
+            for (_, hit), label in zip(matcher.find_all(step.column("text").to_pylist()), step.column("label").to_pylist(), strict=True):
+                found = {matcher.hits[t] for t in hit}
                 counts.update((number, label > 0) for number, misspelled in found if misspelled)
         keys = list(counts)
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.bool_()), pa.array([counts[k] for k in keys], pa.int64())], ["entry", "toxic", "n"])
@@ -201,10 +213,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> list[float]:
 
 def _features(df: DataFrame, model: Model, key: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(model.entries)
+        matcher = _matcher(tuple(model.entries))
         w = np.array(model.coefficients)
         for step in text_steps(batches, "text"):
-            rows = [features(t or "", matcher, model) for t in step.column("text").to_pylist()]
+            rows = features([t or "" for t in step.column("text").to_pylist()], matcher, model)
             x = np.array([r for r, _ in rows]).reshape(len(rows), len(FEATURES))
             score = 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -700, 700)))
             yield pa.RecordBatch.from_arrays([step.column(key), *(pa.array(c) for c in x.T), pa.array(score), pa.array([n for _, n in rows], pa.int64())], [key, *FEATURES, "score", "n_hits"])
@@ -245,9 +257,10 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.3, text_col:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher, w = Matcher(model.entries), np.array(model.coefficients)
-        for batch in batches:
-            lines = (w[0] + w[1:] @ np.array(features(t or "", matcher, model)[0]) for t in batch.column(names.index(text_col)).to_pylist())
+        matcher, w = _matcher(tuple(model.entries)), np.array(model.coefficients)
+        for batch in text_steps(batches, text_col):
+            rows = features([t or "" for t in batch.column(names.index(text_col)).to_pylist()], matcher, model)
+            lines = (w[0] + w[1:] @ np.array(r) for r, _ in rows)
             keep = [1 / (1 + math.exp(-max(-700.0, min(700.0, z)))) < threshold for z in lines]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
