@@ -297,6 +297,20 @@ def test_long_texts_in_slices(monkeypatch):
     assert sorted(first) == list(range(3000 - 39))
 
 
+def test_passages_in_several_slices(spark):
+    rng = random.Random(12)
+    passage, noise = prose(rng, 250)[:2000].encode("ascii", "replace").decode(), rng.randbytes(1_200_000).hex()
+    text = noise[:200_000] + "<" + passage + ">" + noise[200_000:1_500_000] + "(" + passage + ")" + noise[1_500_000:]
+    assert len(text) > 2 * passages.SLICE
+    n = len(passage)
+    spans = [200_001, 200_001 + n, 1_500_003 + n, 1_500_003 + 2 * n]
+    for copies in (1, 2):
+        other = "a short text" * 3
+        (found,) = passages.repeated_passages(docs(spark, [text] * copies + [other])).where(F.col("n_bytes") > 100).collect()
+        want = spans if copies == 1 else [0, len(text)]
+        assert found.removed == want and found.n_removed == sum(want[1::2]) - sum(want[0::2])
+
+
 def test_run_index():
     rng = random.Random(3)
     for trial in range(60):

@@ -245,7 +245,8 @@ def repeated_passages(df: DataFrame, text_col: str = "text", size: int = SIZE, g
     if not hot.isEmpty():
         marks = marks.unionByName(_refined(_variants(texts, hot, size), size))
 
-    places = found.groupBy("key", "anchor", "content").agg(F.first("firsts").alias("firsts"))  # once for all copies of a text
+    # Once for all copies of a text; each slice of a long text has starts of its own.
+    places = found.groupBy("key", "anchor", "content", F.floor(F.col("firsts")[0] / SLICE).alias("slice")).agg(F.first("firsts").alias("firsts"))
     covered = places.join(marks, ["anchor", "content"]).groupBy("key").agg(F.collect_list(F.struct("firsts", "spans")).alias("marks"))
     return _removed(texts.select("key", "text", "copies").join(covered, "key", "left"))
 
