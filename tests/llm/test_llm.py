@@ -506,6 +506,19 @@ def test_near_vectors(spark, monkeypatch, block, shard):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_near_vectors_recall_of_large_labels(spark, monkeypatch):
+    """Blocks of one class stand for a label 256 times as large."""
+    assert [vectors.passes_for(n, 0.93) for n in (0, 256, 10**5, 10**6, 10**7)] == [10, 10, 14, 22, 39]
+    monkeypatch.setattr(vectors, "BLOCK", 1)
+    rng = np.random.default_rng(4)
+    a, b = (x / np.linalg.norm(x, axis=1)[:, None] for x in rng.standard_normal((2, 1500, 64)))
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b = 0.931 * a + math.sqrt(1 - 0.931**2) * b / np.linalg.norm(b, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(np.concatenate([a, b]).tolist())], "vec_id long, embedding array<double>, label int")
+    found = vectors.near_vectors(df).where("n_links = 1").count() / 2
+    assert found >= 0.985 * 1500
+
+
 # --- 9: packing
 
 

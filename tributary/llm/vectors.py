@@ -11,6 +11,7 @@ verified, never the pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +24,21 @@ from ..session import materialize
 from .arrow import map_arrow
 from .components import components
 
-#: Sorted passes, bits of a code, classes in a block, blocks that one task streams over.
+#: Sorted passes at least, bits of a code, classes in a block, blocks that one task streams over.
 PASSES, BITS, BLOCK, SHARD = 10, 48, 256, 32
+#: Chance at most that no pass compares a pair whose cosine is the least that links.
+MISS = 0.005
+
+
+def passes_for(classes: int, least: float) -> int:
+    """Passes that a label of so many classes needs for ``MISS``.
+
+    A pass surely compares a pair whose codes agree in the first bits, as many as part random vectors into blocks. One bit
+    agrees with a chance of 1 - angle / pi, whatever the other vectors are.
+    """
+    bits = min(BITS, max(0, math.ceil(math.log2(max(1, classes) / BLOCK))))
+    agree = (1 - math.acos(max(-1.0, min(1.0, least))) / math.pi) ** bits
+    return PASSES if agree == 1 or agree == 0 else max(PASSES, math.ceil(math.log(MISS) / math.log1p(-agree)))
 
 
 def _codes(classes: DataFrame, passes: int) -> DataFrame:
@@ -102,8 +116,11 @@ def _compare(rows: DataFrame, least: float, passes: int) -> DataFrame:
         if b is None:
             np.fill_diagonal(near, False)
         new = near.copy()
-        for s in range(t):
-            new &= (np.abs(x["blocks"][:, None, s] - y["blocks"][None, :, s]) > 1) & (x["runs"][:, None, s] != y["runs"][None, :, s])
+        i, j = np.nonzero(near)
+        for s in range(t):  # only pairs that no earlier pass has compared stay
+            apart = (np.abs(x["blocks"][i, s] - y["blocks"][j, s]) > 1) & (x["runs"][i, s] != y["runs"][j, s])
+            new[i[~apart], j[~apart]] = False
+            i, j = i[apart], j[apart]
         forward, back = new @ y["copies"], (x["copies"] @ new if b is not None else None)
         ids = x["class"] if b is None else np.concatenate([x["class"], y["class"]])
         labels, n = ids.copy(), len(x["class"])
@@ -201,7 +218,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     Vectors that are null, empty or zero, hold a null or a non-finite component, or differ in length link with nothing. ``n_links`` counts
     other rows, copies included; ``component_id`` is the smallest id reachable and ``kept`` marks the row with that id. Null ids take part but
     never name a component. An empty table gives an empty result. Found pairs are exact; a linked pair is missed if no pass
-    brings it together, which for a cosine of ``least`` and random directions has a chance of a few in a thousand or less.
+    brings it together, which has a chance of at most ``MISS``: ``passes`` is raised to what the largest label needs for that.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), F.col(label_col).alias("label"))
     finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
@@ -211,6 +228,8 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     grouped = good.groupBy("label", "k", "l").agg(F.first("vector").alias("vector"), F.count(F.lit(1)).alias("copies"), F.min("id").alias("least"))
     classes = materialize(grouped.withColumn("class", F.monotonically_increasing_id()), "vectors")
 
+    largest = classes.groupBy("label", F.size("vector")).count().agg(F.max("count")).first()[0] or 0
+    passes = max(passes, passes_for(largest, least))
     codes = materialize(_codes(classes, passes), "codes")
     placed = materialize(_placed(codes, classes).select("class", "label", "vector", "copies", "blocks", "runs"), "placed")
     tasks = _tasks(placed, passes).repartition("task").sortWithinPartitions("task", "pass", "step", "role")
