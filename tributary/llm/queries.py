@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources.tables import table
-from . import bpe, ctw, minhash, packing, passages, sketch, token_files, toxicity, urls, vectors
+from . import bpe, chat, ctw, fim, minhash, packing, passages, sketch, token_files, toxicity, urls, vectors, whitening
 from .arrow import text_key
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -111,6 +111,75 @@ def op10_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+# The conversation that the query adds, whose texts hold control strings.
+EXTRA_CHAT = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+def op11_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(EXTRA_CHAT, "conv_id bigint, turn bigint, role string, text string")
+    path = f"{shared_dir(spark)}/tributary/chats-{uuid.uuid4().hex}"
+    chat.write_chats(given.unionByName(extra), path, BYTE_BPE)
+    return chat.chat_digests(chat.read_chats(spark, path), BYTE_BPE)
+
+
+OP11_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), shown AS (
+  SELECT *, regexp_replace(text, '(</?turn>|### (System|User|Assistant|Role|Text):)', '\\\1', 'g') AS escaped,
+         regexp_replace(role, '(</?turn>|### (System|User|Assistant|Role|Text):)', '\\\1', 'g') AS escaped_role FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(escaped) + 15 + CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 9 WHEN 'assistant' THEN 14 ELSE 19 + length(escaped_role) END) AS BIGINT) AS formatted_chars
+FROM shown GROUP BY conv_id
+"""
+
+
+def op12_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    restored = F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256")
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), restored)
+
+
+OP12_SQL = """
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+         sha256('1:' || doc_id) AS digest FROM documents
+), parts AS (
+  SELECT doc_id, text, units, len(units) AS n, ('0x' || substr(digest, 1, 8))::BIGINT AS h1, ('0x' || substr(digest, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(digest, 17, 8))::BIGINT AS h3, ('0x' || substr(digest, 25, 8))::BIGINT AS h4 FROM hashed
+), cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM parts
+), pieces AS (
+  SELECT *, coalesce(array_to_string(units[1:a], ''), '') AS prefix, coalesce(array_to_string(units[a + 1:b], ''), '') AS middle,
+         coalesce(array_to_string(units[b + 1:], ''), '') AS suffix FROM cuts
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM pieces
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(rows)
+    error = whitening.identity_error(rows, model)
+    shares = F.array(*map(F.lit, model.explained)).cast("array<double>")
+    each = whitening.transform(rows, model).select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return each.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        F.get(shares, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_passages": op2_passages,
@@ -122,5 +191,8 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_best_fit": op9_best_fit,
     "op10_bottom_k": op10_bottom_k,
+    "op11_chat": op11_chat,
+    "op12_middle": op12_middle,
+    "op13_whitening": op13_whitening,
 }
-ORACLE = {"op7_url_rules": OP7_SQL}
+ORACLE = {"op7_url_rules": OP7_SQL, "op11_chat": OP11_SQL, "op12_middle": OP12_SQL}
