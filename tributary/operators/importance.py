@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -54,38 +55,10 @@ def to_long(wide: DataFrame, run: str) -> DataFrame:
     )
 
 
-def split_counts(nodes: DataFrame) -> DataFrame:
-    """How often each feature splits, per fold."""
+def split_counts(nodes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """How often each feature splits, per fold (and further columns)."""
     return (
-        nodes.where(F.col("left") >= 0)
-        .groupBy("feature", "fold")
+        nodes.where(F.col("feature").isNotNull())
+        .groupBy("feature", "fold", *by)
         .agg(F.count(F.lit(1)).cast("double").alias("importance"))
     )
-
-
-def tree_interactions(nodes: DataFrame, trees: int = 200, top: int = 300) -> DataFrame:
-    """Parent-child feature pairs in the first ``trees`` trees of each fold.
-
-    ``nodes`` holds one row per tree node; the join is on (fold, tree, node).
-    Only the report is limited to the ``top`` pairs per fold.
-    """
-    splits = nodes.where((F.col("left") >= 0) & (F.col("tree") < trees))
-    child = splits.select(
-        "fold", "tree", F.col("node").alias("link"), F.col("feature").alias("child"),
-        F.col("gain").alias("child_gain"), F.col("rows").alias("child_rows"),
-    )
-    parent = splits.select(
-        "fold", "tree", F.col("feature").alias("parent"), "gain",
-        F.explode(F.array("left", "right")).alias("link"),
-    )
-    pairs = parent.join(child, on=["fold", "tree", "link"]).groupBy(
-        "fold",
-        F.least("parent", "child").alias("feature_a"),
-        F.greatest("parent", "child").alias("feature_b"),
-    ).agg(
-        F.sum(F.col("gain") + F.col("child_gain")).alias("gain"),
-        F.count(F.lit(1)).alias("times"),
-        F.sum("child_rows").alias("rows"),
-    )
-    best = W.partitionBy("fold").orderBy(F.col("gain").desc(), "feature_a", "feature_b")
-    return pairs.withColumn("place", F.row_number().over(best)).where(F.col("place") <= top)

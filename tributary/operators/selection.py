@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,19 @@ def permute_label(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
     return rows.join(donors, on="__r").select(*columns)
 
 
+def permute_labels(df: DataFrame, key: str, label: str, seeds: Sequence[int]) -> DataFrame:
+    """``key, labels``: for each seed, in order, what ``permute_label`` gives, all from one ordering by key and one by (seed, hash)."""
+    known = df.where(F.col(label).isNotNull()).select(F.col(key).alias("__k"), F.col(label).alias("__y"))
+    if not seeds:
+        return known.select(F.col("__k").alias(key), F.array().cast("array<int>").alias("labels"))
+    hashes = F.array(*[F.struct(F.lit(p).alias("__p"), hash_order("__k", s).alias("__h")) for p, s in enumerate(seeds)])
+    mixed = known.select("__k", "__y", F.inline(hashes))
+    donors = running_total(mixed, ["__p"], "__h", F.lit(1), out="__r", tie_break="__k")
+    labels = F.transform(F.array_sort(F.collect_list(F.struct("__p", "__y"))), lambda e: e["__y"])
+    rows = running_total(known, [], "__k", F.lit(1), out="__r")
+    return rows.join(donors.groupBy("__r").agg(labels.alias("labels")), on="__r").select(F.col("__k").alias(key), "labels")
+
+
 def importance_ttest(importance: DataFrame, actual: str = "actual", null: str = "null") -> DataFrame:
     """Pooled two-sample t-test per feature over ``(run, feature, fold, importance)``."""
 

@@ -19,7 +19,7 @@ from ..functions.ratios import (
 )
 from ..functions.recency import since, within
 from ..functions.rowstats import row_mean, row_sum, with_row_kurtosis, with_row_std
-from ..operators import aggspec, assemble, boosting, encode, importance, lookup, ordered, rollup, selection
+from ..operators import aggspec, assemble, boosting, encode, importance, lookup, ordered, rollup, selection, trees
 from ..operators.validation import auc, exact_folds, hash_fold
 from ..operators.windowed import ALL_WINDOW, Slices, Windows, spread, trend_ratio, windowed_agg
 from ..sources.tables import (
@@ -603,39 +603,65 @@ def _model_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
     return ready, assemble.feature_columns(ready, extra=["doc_id"])
 
 
-def _small(preset: boosting.Preset) -> boosting.Preset:
-    """The same settings with few, shallow, fast-moving trees."""
-    return replace(preset, rounds=5, depth=3, step=0.3, min_rows=2)
+ROUNDS = 4
 
 
-def _run(spark: SparkSession, sf: str, preset: boosting.Preset) -> boosting.CrossValidation:
+def _run(spark: SparkSession, sf: str, preset: boosting.Preset, rounds: int = ROUNDS) -> boosting.CrossValidation:
+    """The preset as published, with fewer rounds."""
     ready, features = _model_table(spark, sf)
-    return boosting.cross_validate(
-        ready, "doc_id", "TARGET", features, _small(preset), 3, early_stopping=False, parallelism=3
-    )
+    return boosting.cross_validate(ready, "doc_id", "TARGET", features, replace(preset, rounds=rounds), 3)
+
+
+def _scores(df: DataFrame) -> DataFrame:
+    return df.withColumn("score", rounded("score", 8))
 
 
 def oof_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    return _run(spark, sf, boosting.LEAFWISE).oof
+    return _scores(_run(spark, sf, boosting.DEPTHWISE).oof)
+
+
+def oof_leafwise(spark: SparkSession, sf: str) -> DataFrame:
+    return _scores(_run(spark, sf, boosting.LEAFWISE).oof)
+
+
+def oof_symmetric(spark: SparkSession, sf: str) -> DataFrame:
+    return _scores(_run(spark, sf, boosting.SYMMETRIC).oof)
+
+
+def test_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of the unlabelled rows, averaged over the fold models."""
+    return _scores(_run(spark, sf, boosting.DEPTHWISE).test)
+
+
+def staged_auc(spark: SparkSession, sf: str) -> DataFrame:
+    """AUC of each fold's held-out rows after each round."""
+    staged = _run(spark, sf, boosting.DEPTHWISE).staged
+    return staged.select("fold", "round", rounded("auc", 8).alias("auc"))
+
+
+def tree_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    nodes = _run(spark, sf, boosting.DEPTHWISE).nodes
+    digits = {"cut": 6, "value": 8, "gain": 4, "cover": 4}
+    return nodes.select("fold", "tree", "node", "feature", "missing_left", "rows", *[rounded(c, d).alias(c) for c, d in digits.items()])
 
 
 def importance_long(spark: SparkSession, sf: str) -> DataFrame:
     cv = _run(spark, sf, boosting.DEPTHWISE)
     splits = cv.splits.select("feature", "fold", F.col("importance").alias("splits"))
-    return cv.importance.join(splits, ["feature", "fold"])
+    return cv.importance.join(splits, ["feature", "fold"]).withColumn("importance", rounded("importance", 6))
 
 
 def tree_interactions(spark: SparkSession, sf: str) -> DataFrame:
-    return importance.tree_interactions(_run(spark, sf, boosting.DEPTHWISE).nodes)
+    found = trees.interactions(_run(spark, sf, boosting.DEPTHWISE).nodes)
+    kept = found.select("fold", "order", "features", "gain", "times", "weighted_times", "rows", "place")
+    return kept.withColumns({"gain": rounded("gain", 4), "weighted_times": rounded("weighted_times", 6)})
 
 
 def null_selection(spark: SparkSession, sf: str) -> DataFrame:
     """Importances on real and permuted labels, tested and corrected."""
     ready, _ = _model_table(spark, sf)
     keyed = ready.withColumnRenamed("doc_id", credit.KEY)
-    found = credit.null_importances(
-        keyed, _small(boosting.DEPTHWISE), folds=3, early_stopping=False, parallelism=3
-    )
+    found = credit.null_importances(keyed, replace(boosting.DEPTHWISE, rounds=ROUNDS), folds=3, permutations=2, early_stopping=False)
     return selection.importance_ttest(found)
 
 
@@ -645,18 +671,12 @@ def stacked_oof(spark: SparkSession, sf: str) -> DataFrame:
     level1 = None
     names = []
     for preset in (boosting.DEPTHWISE, boosting.SYMMETRIC):
-        cv = boosting.cross_validate(
-            ready, "doc_id", "TARGET", features, _small(preset), 3, early_stopping=False, parallelism=3
-        )
+        cv = boosting.cross_validate(ready, "doc_id", "TARGET", features, replace(preset, rounds=ROUNDS), 3)
         scores = cv.predictions("doc_id")
         level1 = scores if level1 is None else level1.unionByName(scores)
         names.append(preset.name)
     stacked = assemble.stack_features(ready, "doc_id", level1, names)
-    cv2 = boosting.cross_validate(
-        stacked, "doc_id", "TARGET", features + names, _small(boosting.LEAFWISE), 3,
-        early_stopping=False, parallelism=3,
-    )
-    return cv2.oof
+    return _scores(boosting.cross_validate(stacked, "doc_id", "TARGET", features + names, replace(boosting.DEPTHWISE, rounds=ROUNDS), 3).oof)
 
 
 QUERIES = {
@@ -714,6 +734,11 @@ QUERIES = {
     "importance_ttest": importance_ttest,
     "select_features": select_features,
     "oof_gbt": oof_gbt,
+    "oof_leafwise": oof_leafwise,
+    "oof_symmetric": oof_symmetric,
+    "test_scores": test_scores,
+    "staged_auc": staged_auc,
+    "tree_nodes": tree_nodes,
     "importance_long": importance_long,
     "tree_interactions": tree_interactions,
     "stacked_oof": stacked_oof,

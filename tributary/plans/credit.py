@@ -433,15 +433,12 @@ def train_models(
     out: str | None = None,
     run: str = "level1",
     early_stopping: bool = True,
-    parallelism: int = 1,
 ) -> dict[str, boosting.CrossValidation]:
     """Out-of-fold runs of every preset; ``out`` also writes scores, importances and metrics."""
     features = assemble.feature_columns(matrix)
     done = {}
     for preset in presets:
-        cv = boosting.cross_validate(
-            matrix, KEY, LABEL, features, preset, folds, early_stopping=early_stopping, parallelism=parallelism
-        )
+        cv = boosting.cross_validate(matrix, KEY, LABEL, features, preset, folds, early_stopping=early_stopping)
         done[preset.name] = cv
         if out:
             sinks.write_submission(cv.test, KEY, f"{out}/{run}/submission_{preset.name}")
@@ -465,27 +462,24 @@ def null_importances(
 ) -> DataFrame:
     """Importances ``(run, feature, fold, importance)`` on real and permuted labels.
 
-    ``kind`` is ``splits`` (how often a feature splits) or ``gain`` (its share of the gain).
+    ``kind`` is ``splits`` (how often a feature splits) or ``gain`` (its share of the gain). All permutations are trained together: a row
+    carries an array of labels, and one pass over the binned rows serves every label and fold.
     """
     if kind not in ("splits", "gain"):
         raise ValueError(f"kind is splits or gain, not {kind!r}")
-
-    def importances(rows: DataFrame) -> DataFrame:
-        cv = boosting.cross_validate(rows, KEY, LABEL, features, preset, folds, **options)
-        return cv.splits if kind == "splits" else cv.importance
-
     features = assemble.feature_columns(matrix)
     table = materialize(matrix, "selection")
-    runs = importances(table)
-    out = runs.withColumn("run", F.lit("actual"))
-    for p in range(permutations):
-        labels = selection.permute_label(table.select(KEY, LABEL), KEY, LABEL, seed + p)
-        shuffled = table.drop(LABEL).join(labels, KEY, "left")
-        null = importances(shuffled)
-        out = out.unionByName(
-            null.withColumn("run", F.lit("null")).withColumn("fold", (F.col("fold") + p * folds).cast("int"))
-        )
-    return out.select("run", "feature", "fold", "importance")
+    mixed = selection.permute_labels(table.select(KEY, LABEL), KEY, LABEL, [seed + p for p in range(permutations)])
+    labels = [f"__null{p}" for p in range(permutations)]
+    joined = table.join(mixed.select(KEY, *[F.col("labels")[p].alias(c) for p, c in enumerate(labels)]), KEY, "left")
+    cv = boosting.cross_validate(joined, KEY, [LABEL, *labels], features, preset, folds, **options)
+    found = cv.splits if kind == "splits" else cv.importance
+    return found.select(
+        F.when(F.col("run") == 0, "actual").otherwise("null").alias("run"),
+        "feature",
+        (F.col("fold") + F.greatest(F.col("run") - 1, F.lit(0)) * folds).cast("int").alias("fold"),
+        "importance",
+    )
 
 
 def select_by_null_importance(
@@ -500,4 +494,4 @@ def select_by_null_importance(
 
 def quick(preset: boosting.Preset, rounds: int, depth: int | None = None, step: float = 0.1) -> boosting.Preset:
     """A preset cut to a given number of trees, for trials."""
-    return replace(preset, rounds=rounds, depth=depth or preset.depth, step=step, min_rows=min(preset.min_rows, 5))
+    return replace(preset, rounds=rounds, depth=depth or preset.depth, step=step, min_child_weight=min(preset.min_child_weight, 5.0))

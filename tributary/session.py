@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -51,3 +55,13 @@ def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
         writer = writer.partitionBy(*partition_by)
     writer.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` with a function of this package; workers that share its folder can import it, other clusters ship it with --py-files."""
+    environment = df.sparkSession.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[1])
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+    return df.mapInArrow(function, schema)
