@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .oracle_trees import TREE_ORACLE
+
 ORDERS = """
 orders_h AS (
   SELECT *, datediff('day', DATE '2001-08-02', CAST(o_orderdate AS DATE)) AS DAYS_CREDIT FROM orders)"""
@@ -383,3 +385,5 @@ SELECT feature, fold, {rd('importance', 6)} AS importance FROM imp WHERE feature
 {rd('log2fc', 6)} AS log2fc, {rd('log10pvalues', 4)} AS log10pvalues, {rd('padj', 6)} AS padj FROM sel""",
     "select_features": f"WITH {TTEST} SELECT feature, {rd('padj', 6)} AS padj FROM sel WHERE padj < 0.05",
 }
+
+ORACLE.update(TREE_ORACLE)
