@@ -6,29 +6,38 @@ lists. Classes that share values there are candidates; the bottom of the union o
 Jaccard similarity and filters; full sets confirm.
 
 Lists. For two sets above the threshold each of the smallest values of their union is in both with a probability of
-at least the threshold, so sharing fewer than ``SHARED`` of ``INDEX`` values has a chance of about 4e-6. A list of at most ``LIST``
-classes gives all its pairs. A longer list is hot: it gives one pair per class, with a class picked for this list. A class
-with over a quarter of its values in hot lists may have its links there only. While a hot list holds several components, its classes
-outside the largest meet further picked members of the largest, in a few rounds; those still outside meet the whole
-list. Other classes share enough values outside hot lists. So no list is cut, and a hot list does not give all its pairs.
+at least the threshold, so sharing fewer than ``SHARED`` of ``INDEX`` values has a chance of about 4e-6. Order the values of
+each class by the length of their lists, rarest first. Two classes that share at least s of their values share one that is among the first
+k - s + 1 of both, so only those stay indexed: a value that many documents have in common stays for a class only if most of its values are such.
+
+In each list all classes first meet one picked member, which is linear in the lists. Then only pairs between different components are left to try:
+all of them in lists of at most ``LIST`` classes; in a longer list its classes outside the largest component first meet further members of that in a few
+rounds. Classes of lists that are parted even then are indexed again by ``SKETCH`` values, of which ``SHARED_WIDE`` must be shared (missed with about
+5e-6), rarest among themselves first. Classes that are joined by such lists are a family, as edited copies of one text are that are too unlike to be
+linked: a family is compared on full sets, block by block, and a pair of blocks gives a forest of links only. So no list is cut, and neither a common passage nor
+a family gives all its pairs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .arrow import text_key
+from .arrow import on_workers, text_key
 from .components import components
 from .sketch import SHINGLE_WORDS, shingle_hashes
 
-#: Values in a sketch, values of it that are indexed, classes in a list from which it is hot, hot share of a hot class.
-SKETCH, INDEX, LIST, HOT_SHARE = 32, 16, 32, 0.25
-#: Rounds in which classes outside a hot list's largest component meet that many picked members of it.
-ROUNDS, PICKED = 4, 2
-#: Indexed values that a pair shares at least; hot ones, which are not counted, are taken as shared.
-SHARED = 4
+#: Values in a sketch, values of it that are indexed, classes in a list from which it is long.
+SKETCH, INDEX, LIST = 64, 16, 32
+#: Rounds in which classes outside a long list's largest component meet that many picked members of it.
+ROUNDS, PICKED = 2, 2
+#: Indexed values, and values of whole sketches, that a pair shares at least.
+SHARED, SHARED_WIDE = 4, 32
+#: Classes of a family in one block.
+BLOCK = 512
 #: Estimates below the threshold by more than this many standard deviations of the estimate are dropped.
 DEVIATIONS = 4.5
 
@@ -59,17 +68,31 @@ def _sizes_fit(a: str, b: str, part: int, whole: int):
     return (F.col(a) * whole >= F.col(b) * part) & (F.col(b) * whole >= F.col(a) * part)
 
 
-def _candidates(lists: DataFrame, part: int, whole: int) -> DataFrame:
-    """Distinct pairs ``a < b`` from inverted lists, with the number of shared values."""
-    cool = lists.where(F.col("listed") <= LIST).select("value", "class", "n", "hot_values")
-    other = cool.select("value", F.col("class").alias("b"), F.col("n").alias("m"))
-    cold = cool.join(other, "value").where((F.col("class") < F.col("b")) & _sizes_fit("n", "m", part, whole)).select(F.col("class").alias("a"), "b", "n", "hot_values")
-    counted = cold.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"), F.first("hot_values").alias("hot_values"))
-    enough = F.least(F.lit(SHARED), F.ceil(F.col("n") * part / whole))  # a small set is indexed whole
-    counted = counted.where(F.col("shared") + F.col("hot_values") >= enough).select("a", "b", "shared")
-    hot = lists.where((F.col("listed") > LIST) & F.col("hot") & (F.col("class") != F.col("picked"))).select(F.least("class", "picked").alias("a"), F.greatest("class", "picked").alias("b"))
-    hot = hot.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
-    return counted.unionByName(hot).groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+def _lists(classes: DataFrame, k: int, shared: int, part: int, whole: int) -> DataFrame:
+    """``value, class, n, listed, picked``: inverted lists of the rarest values of each class, and a member of each list.
+
+    Of ``k`` values those stay whose list is among the shortest; a list with one class that kept it is dropped.
+    """
+    values = classes.select("class", "n", F.explode(F.slice("sketch", 1, k)).alias("value"))
+    lengths = values.groupBy("value").agg(F.count(F.lit(1)).alias("length"))
+    rank = F.row_number().over(Window.partitionBy("class").orderBy("length", "value"))
+    enough = F.least(F.lit(shared), F.ceil(F.col("n") * part / whole))  # a small set is indexed whole
+    kept = values.join(lengths, "value").withColumn("rank", rank).where((F.col("rank") <= F.least(F.lit(k), "n") - enough + 1) & (F.col("length") > 1))
+    # One and the same member is picked in lists of the same classes.
+    listed = kept.groupBy("value").agg(F.count(F.lit(1)).alias("listed"), F.min(F.struct(F.xxhash64("class"), "class"))["class"].alias("picked")).where("listed > 1")
+    return kept.select("value", "class", "n").join(listed, "value")
+
+
+def _pair(x: str, y: str) -> list:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _between(lists: DataFrame, groups: DataFrame, part: int, whole: int) -> DataFrame:
+    """Distinct pairs of classes that share a list but no component, of fitting sizes."""
+    rows = _with_components(lists, groups).select("value", "class", "n", "component")
+    other = rows.select("value", F.col("class").alias("y"), F.col("n").alias("m"), F.col("component").alias("y_of"))
+    met = rows.join(other, "value").where((F.col("class") < F.col("y")) & (F.col("component") != F.col("y_of")) & _sizes_fit("n", "m", part, whole))
+    return met.select(F.col("class").alias("a"), F.col("y").alias("b")).distinct()
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, part: int, whole: int) -> DataFrame:
@@ -85,9 +108,11 @@ def _estimated(pairs: DataFrame, classes: DataFrame, part: int, whole: int) -> D
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
-    """Pairs whose full sets have ``whole * intersection >= part * union``."""
-    left = sets.select(F.col("class").alias("a"), F.col("hashes").alias("s"))
-    right = sets.select(F.col("class").alias("b"), F.col("hashes").alias("t"))
+    """Pairs whose full sets have ``whole * intersection >= part * union``. Only sets of these pairs are moved."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    own = sets.join(ends, "class", "left_semi")
+    left = own.select(F.col("class").alias("a"), F.col("hashes").alias("s"))
+    right = own.select(F.col("class").alias("b"), F.col("hashes").alias("t"))
     joined = pairs.select("a", "b").join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("s", "t")))
     return joined.where(F.col("common") * whole >= (F.size("s") + F.size("t") - F.col("common")) * part).select("a", "b")
 
@@ -101,80 +126,119 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``component_id``. Repeated rows are links like any copies. Only two columns are read. An empty table gives an empty result.
     """
     signed = _signatures(df, id_col, text_col, size)
-    classes = materialize(signed.where("class is not null").groupBy("class", "n").agg(F.min("key").alias("key"), F.first("sketch").alias("sketch")), "classes")
-
-    values = classes.select("class", "n", F.explode(F.slice("sketch", 1, INDEX)).alias("value"))
-    listed = values.groupBy("value").agg(F.count(F.lit(1)).alias("listed"), F.min(F.struct(F.xxhash64("class", "value"), "class"))["class"].alias("picked")).where("listed > 1")
-    rows = values.join(listed, "value")
-    hot = rows.where(F.col("listed") > LIST).groupBy("class").agg(F.count(F.lit(1)).alias("hot_values"))
-    lists = rows.join(hot, "class", "left").withColumn("hot_values", F.coalesce("hot_values", F.lit(0)))
-    lists = materialize(lists.withColumn("hot", F.col("hot_values") > F.least("n", F.lit(INDEX)) * HOT_SHARE), "lists")
-    pairs = materialize(_estimated(_candidates(lists, part, whole), classes, part, whole), "candidates")
-
-    involved = lists.where((F.col("listed") > LIST) & F.col("hot")).select("class").unionByName(pairs.select(F.col("a").alias("class"))).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    wanted = classes.join(involved, "class", "left_semi").select("key", "class")
+    # Classes get numbers when they are written; joins and minima over numbers are cheap.
+    found = signed.where("class is not null").groupBy("class", "n").agg(F.min("key").alias("key"), F.first("sketch").alias("sketch"))
+    classes = materialize(found.withColumnRenamed("class", "digest").withColumn("class", F.monotonically_increasing_id()), "classes")
+    lists = materialize(_lists(classes, INDEX, SHARED, part, whole), "lists")
+
+    wanted = classes.select("key", "class").join(lists.select("class").distinct(), "class", "left_semi")
     texts = df.select(text_key(F.col(text_col)).alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).groupBy("key").agg(F.first("text").alias("text"))
     sets = materialize(_sets(texts.join(wanted, "key"), "text", size).select("class", "hashes"), "sets")
 
-    # First each class with its best candidate; then only pairs that still part two components.
-    ends = pairs.select("a", "b", "shared", F.col("a").alias("own")).unionByName(pairs.select("a", "b", "shared", F.col("b").alias("own")))
-    best = ends.groupBy("own").agg(F.max(F.struct("shared", "a", "b")).alias("best")).select("best.a", "best.b").distinct()
-    links = materialize(_verified(best, sets, part, whole), "links")
-    groups = components(links)
-    rest = _parted(pairs.join(best, ["a", "b"], "left_anti"), groups)
-    more = materialize(_verified(rest, sets, part, whole), "links")
-    if not more.isEmpty():
-        groups = components(links.unionByName(more))
-    for turn in range(ROUNDS + 1):
-        outside = materialize(_outside(lists, groups), "outside")
+    groups = lists.select(F.col("class").alias("node"), F.col("class").alias("component")).limit(0)
+
+    def joined(groups: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Components after the pairs that the full sets confirm."""
+        tried = materialize(_estimated(pairs, classes, part, whole), "candidates")
+        if tried.isEmpty():
+            return groups
+        more = materialize(_verified(tried, sets, part, whole), "links")
+        # What is known of the groups stands for the links that made them.
+        return components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+
+    groups = joined(groups, lists.where("class <> picked").select(*_pair("class", "picked")).distinct())
+    groups = joined(groups, _between(lists.where(F.col("listed") <= LIST), groups, part, whole))
+    long = lists.where(F.col("listed") > LIST)
+    for turn in range(ROUNDS):
+        outside = materialize(_outside(long, groups), "outside")
         if outside.isEmpty():
             break
-        meet = _picked(lists, outside, groups, turn) if turn < ROUNDS else _whole_lists(lists, outside, groups)
-        more = materialize(_verified(_estimated(meet, classes, part, whole), sets, part, whole), "links")
-        if not more.isEmpty():
-            # What is known of the groups stands for the links that made them.
-            groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-
-    named = signed.join(groups.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+        groups = joined(groups, _picked(long, outside, groups, turn))
+    else:
+        apart = _outside(long, groups).select("value").distinct()
+        left = classes.join(long.join(apart, "value", "left_semi").select("class").distinct(), "class", "left_semi")
+        wide = materialize(_lists(left, SKETCH, SHARED_WIDE, part, whole), "lists")
+        groups = joined(groups, wide.where("class <> picked").select(*_pair("class", "picked")).distinct())
+        more = materialize(_within_families(_families(wide, groups), sets, groups, part, whole), "links")
+        groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+
+    of = classes.select("digest", "class").join(groups.select(F.col("node").alias("class"), "component"), "class").select(F.col("digest").alias("class"), "component")
+    named = signed.join(of, "class", "left").withColumn("component", F.coalesce(F.hex(F.col("component")), F.hex("class")))
     least = named.where("component is not null").groupBy("component").agg(F.min("id").alias("least"))
     ids = named.join(least, "component", "left").withColumn("component_id", F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least")))
     return ids.select("id", "key", F.col("n").cast("long").alias("n_shingles"), "component", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
-def _parted(pairs: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs whose ends are not in one component."""
-    of = lambda end: groups.select(F.col("node").alias(end), F.col("component").alias(f"{end}_of"))
-    joined = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    return joined.where(F.coalesce("a_of", "a") != F.coalesce("b_of", "b")).select(*pairs.columns)
-
-
-def _hot_rows(lists: DataFrame, groups: DataFrame) -> DataFrame:
-    rows = lists.where((F.col("listed") > LIST) & F.col("hot")).select("value", "class")
-    return rows.join(groups.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+def _with_components(lists: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of lists with the component of their class; a class without links is one of its own."""
+    return lists.join(groups.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
 
 
 def _outside(lists: DataFrame, groups: DataFrame) -> DataFrame:
-    """``value, x, x_of, top``: hot classes outside the largest component ``top`` of a hot list."""
-    rows = _hot_rows(lists, groups)
+    """``value, x, top``: classes outside the largest component ``top`` of a list."""
+    rows = _with_components(lists, groups)
     sizes = rows.groupBy("value", "component").agg(F.count(F.lit(1)).alias("held"))
     largest = sizes.groupBy("value").agg(F.max(F.struct("held", "component"))["component"].alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("value", "top")
-    return rows.join(largest, "value").where("component <> top").select("value", F.col("class").alias("x"), F.col("component").alias("x_of"), "top")
+    return rows.join(largest, "value").where("component <> top").select("value", F.col("class").alias("x"), "top")
 
 
 def _picked(lists: DataFrame, outside: DataFrame, groups: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each class outside with a few members of its lists' largest components, others in each turn."""
-    tops = outside.select("value", F.col("top").alias("component")).distinct()
-    members = _hot_rows(lists, groups).join(tops, ["value", "component"], "left_semi")
+    """Pairs of each class outside a component with a few members of it, from one of the lists that they share and others in each turn."""
+    one = outside.groupBy("x", "top").agg(F.min(F.struct(F.xxhash64("value", F.lit(turn)), "value"))["value"].alias("value"))
+    tops = one.select("value", F.col("top").alias("component")).distinct()
+    members = _with_components(lists, groups).join(tops, ["value", "component"], "left_semi")
     lane = F.pmod(F.xxhash64("class", F.lit(turn)), F.lit(PICKED))
-    picked = members.groupBy("value", lane.alias("lane")).agg(F.min(F.struct(F.xxhash64("class", "value", F.lit(turn)), "class"))["class"].alias("y"))
-    met = outside.select("value", "x").join(picked.select("value", "y"), "value")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-
-def _whole_lists(lists: DataFrame, outside: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of each class outside with all of its lists' classes in other components."""
-    met = outside.select("value", "x", "x_of").join(_hot_rows(lists, groups).select("value", F.col("class").alias("y"), F.col("component").alias("y_of")), "value")
-    return met.where("x_of <> y_of").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    picked = members.groupBy("value", "component", lane.alias("lane")).agg(F.min(F.struct(F.xxhash64("class", F.lit(turn)), "class"))["class"].alias("y"))
+    met = one.join(picked.select("value", F.col("component").alias("top"), "y"), ["value", "top"])
+    return met.select(*_pair("x", "y")).distinct()
+
+
+def _families(lists: DataFrame, groups: DataFrame) -> DataFrame:
+    """``class, family, size``: classes joined by lists that hold several components."""
+    rows = _with_components(lists, groups)
+    parted = rows.groupBy("value").agg((F.min("component") < F.max("component")).alias("parted")).where("parted").select("value")
+    found = components(rows.join(parted, "value", "left_semi").where("class <> picked").select(*_pair("class", "picked")))
+    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    return found.join(sizes, "component").select(F.col("node").alias("class"), F.col("component").alias("family"), "size")
+
+
+def _within_families(families: DataFrame, sets: DataFrame, groups: DataFrame, part: int, whole: int) -> DataFrame:
+    """Links ``a, b`` between components of one family that its full sets confirm; of each pair of blocks a spanning forest."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        column = table.column("hashes").combine_chunks()
+        flat, sizes = column.flatten().to_numpy(), np.diff(column.offsets.to_numpy())
+        classes, of = table.column("class").to_numpy(), table.column("component").to_numpy()
+        _, place, often = np.unique(flat, return_inverse=True, return_counts=True)
+        row = np.repeat(np.arange(len(sizes)), sizes)[often[place] > 1]  # a value of one class is in no intersection
+        place = (np.cumsum(often > 1) - 1)[place][often[place] > 1]
+        common = np.zeros((len(sizes),) * 2, np.float32)
+        for a in range(0, int(place.max(initial=-1)) + 1, 8192):
+            held = np.zeros((len(sizes), 8192), np.float32)
+            here = (place >= a) & (place < a + 8192)
+            held[row[here], place[here] - a] = 1
+            common += held @ held.T
+        x, y = np.nonzero(np.triu(common * whole >= (sizes[:, None] + sizes - common) * part, 1) & (of[:, None] != of))
+        roots, links = {c: c for c in of.tolist()}, []
+
+        def root(c: int) -> int:
+            while roots[c] != c:
+                roots[c] = c = roots[roots[c]]
+            return c
+
+        for i, j in zip(x.tolist(), y.tolist(), strict=True):
+            p, q = root(int(of[i])), root(int(of[j]))
+            if p != q:
+                roots[p] = q
+                links.append((int(classes[i]), int(classes[j])))
+        return pa.table({"a": pa.array([min(k) for k in links], pa.int64()), "b": pa.array([max(k) for k in links], pa.int64())})
+
+    on_workers(families.sparkSession)
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    placed = _with_components(families.select("class", "family", blocks.alias("blocks")), groups).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    met = placed.join(sets, "class").select("class", "family", "component", "hashes", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    pairs = met.select("class", "component", "hashes", "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    return pairs.groupBy("family", "i", "j").applyInArrow(compare, "a bigint, b bigint")
 
 
 def one_of_each(df: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
