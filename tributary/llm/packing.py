@@ -2,8 +2,8 @@
 
 Lengths are at most the largest capacity, so the whole corpus is summed up in a histogram of that many entries. Best fit
 runs over the histogram, long items first: all bins with equal room are one group, and one step places as many equal items
-as the tightest group takes. When no open bin has room, the capacity with the least cost per token that the
-remaining items can fill is opened. At the end each bin is cut down to the smallest permitted capacity that holds its
+as the tightest group takes. When no open bin has room, each capacity is tried on the remaining items: a bin is filled with the longest that fit, as
+many as there are for each new bin, and the capacity that then costs least per token is opened. At the end each bin is cut down to the smallest permitted capacity that holds its
 contents. Every step is one *placement*: so many items of one length, so many to a bin, into consecutive bins.
 Items are then numbered within their length, and the number finds the placement: no item ever passes the driver.
 """
@@ -39,7 +39,7 @@ def plan(histogram: dict[int, int], capacities: Sequence[int] = CAPACITIES, cost
     """
     sizes = sorted(capacities)
     lengths = sorted((n for n in histogram if histogram[n] > 0), reverse=True)
-    left = sum(n * histogram[n] for n in lengths)
+    rising = lengths[::-1]
     rooms: list[int] = []  # sorted distinct rooms of open groups
     groups: dict[int, list[list[int]]] = defaultdict(list)  # room -> [first bin, bins, capacity]
     placements, done, opened = [], [], 0
@@ -65,15 +65,14 @@ def plan(histogram: dict[int, int], capacities: Sequence[int] = CAPACITIES, cost
                     del groups[room]
                     rooms.pop(at)
             else:
-                # What the remaining items can fill bounds the tokens that a large bin is paid for.
-                capacity = min((c for c in sizes if c >= length), key=lambda c: (cost(c) / min(c, left), -c))
+                capacity = min((c for c in sizes if c >= length), key=lambda c: (_filled_cost(c, length, count, histogram, rising, sizes, cost), -c))
                 per_bin = min(capacity // length, count)
                 group, room = [opened, max(1, count // per_bin), capacity], capacity
                 opened += group[1]
             per_bin = min(room // length, count)
             bins = min(group[1], count // per_bin)
             placements.append((length, item, bins * per_bin, per_bin, group[0], group[2] - room))
-            item, count, left = item + bins * per_bin, count - bins * per_bin, left - bins * per_bin * length
+            item, count = item + bins * per_bin, count - bins * per_bin
             put_back(room - per_bin * length, [group[0], bins, group[2]])
             put_back(room, [group[0] + bins, group[1] - bins, group[2]])
     for room in list(rooms):
@@ -81,6 +80,21 @@ def plan(histogram: dict[int, int], capacities: Sequence[int] = CAPACITIES, cost
     return _by_final_bin(placements, sorted((first, bins, next(c for c in sizes if c >= used), used) for first, bins, _, used in done))
 
 
+def _filled_cost(capacity: int, length: int, count: int, histogram: dict[int, int], rising: list[int], sizes: Sequence[int], cost: Callable[[int], float]) -> float:
+    """Cost per token of a bin of this capacity that ``count`` items of ``length`` open and shorter ones fill up.
+
+    The bins opened together share the shorter items evenly; the bin is paid for as it is cut down in the end.
+    """
+    per_bin = min(capacity // length, count)
+    bins, used = max(1, count // per_bin), per_bin * length
+    at = bisect_right(rising, min(length - 1, capacity - used)) - 1
+    while at >= 0:
+        n = rising[at]
+        used += min((capacity - used) // n, histogram[n] // bins) * n
+        at = min(at, bisect_right(rising, capacity - used)) - 1
+    return cost(next(c for c in sizes if c >= used)) / used
+
+
 def _by_final_bin(placements: list[tuple], finals: list[tuple]) -> list[tuple]:
     """Cut placements where their bins ended up different, and add what the bins ended up as."""
     starts = [f[0] for f in finals]
