@@ -13,8 +13,8 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,8 @@ ENTRIES, SUPPORT, LOG_ODDS, DEVIATIONS = 4_000, 4, 1.5, 5.5
 STEM_LENGTHS = range(3, 9)
 #: Tokens of a context window, and tokens before a hit in which a reporting word makes it a quotation.
 WINDOW, REPORT = 40, 4
-#: Tokens whose match a worker keeps.
-MEMO = 400_000
+#: Tokens whose match a task keeps.
+MEMO = 150_000
 
 # Marks inside words, digits and signs that stand for letters, quotation marks, reporting words.
 TOKEN = re.compile(r"[^\W_]+(?:[*@$!][^\W_]+)*")
@@ -71,6 +71,9 @@ class Matcher:
         self.hits: dict[str, tuple[int, bool]] = {}
         self.clean: set[str] = set()
 
+    def drop(self) -> None:
+        self.lexicon, self.hits, self.clean = None, {}, set()
+
     def find_all(self, texts: list[str]) -> list[tuple[list[str], set[str]]]:
         """For each text all tokens, and those among them that hit."""
         tokens = [tokens_of(text) for text in texts]
@@ -88,10 +91,14 @@ class Matcher:
         return [(t, self.hits.keys() & set(t)) for t in tokens]
 
 
-@lru_cache(maxsize=1)
-def _matcher(entries: tuple[Entry, ...]) -> Matcher:
-    """One matcher for the tasks of a worker that have these entries."""
-    return Matcher(list(entries))
+@contextmanager
+def _matcher(entries: list[Entry]) -> Iterator[Matcher]:
+    """A matcher for one task; what it has learned is dropped with the task, for workers stay for later stages."""
+    matcher = Matcher(entries)
+    try:
+        yield matcher
+    finally:
+        matcher.drop()
 
 
 def features(texts: list[str], matcher: Matcher, model: Model) -> list[tuple[list[float], int]]:
@@ -184,11 +191,12 @@ def _misspelled(sample: DataFrame, entries: list[Entry], n: dict[int, int]) -> l
     """Weights of misspelled hits. Without evidence one weighs much; clean texts that hold it take the weight away."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher, counts = _matcher(tuple(entries)), Counter()
-        for step in text_steps(batches, "text"):
-            for (_, hit), label in zip(matcher.find_all(step.column("text").to_pylist()), step.column("label").to_pylist(), strict=True):
-                found = {matcher.hits[t] for t in hit}
-                counts.update((number, label > 0) for number, misspelled in found if misspelled)
+        counts = Counter()
+        with _matcher(entries) as matcher:
+            for step in text_steps(batches, "text"):
+                for (_, hit), label in zip(matcher.find_all(step.column("text").to_pylist()), step.column("label").to_pylist(), strict=True):
+                    found = {matcher.hits[t] for t in hit}
+                    counts.update((number, label > 0) for number, misspelled in found if misspelled)
         keys = list(counts)
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.bool_()), pa.array([counts[k] for k in keys], pa.int64())], ["entry", "toxic", "n"])
 
@@ -213,13 +221,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> list[float]:
 
 def _features(df: DataFrame, model: Model, key: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = _matcher(tuple(model.entries))
         w = np.array(model.coefficients)
-        for step in text_steps(batches, "text"):
-            rows = features([t or "" for t in step.column("text").to_pylist()], matcher, model)
-            x = np.array([r for r, _ in rows]).reshape(len(rows), len(FEATURES))
-            score = 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -700, 700)))
-            yield pa.RecordBatch.from_arrays([step.column(key), *(pa.array(c) for c in x.T), pa.array(score), pa.array([n for _, n in rows], pa.int64())], [key, *FEATURES, "score", "n_hits"])
+        with _matcher(model.entries) as matcher:
+            for step in text_steps(batches, "text"):
+                rows = features([t or "" for t in step.column("text").to_pylist()], matcher, model)
+                x = np.array([r for r, _ in rows]).reshape(len(rows), len(FEATURES))
+                score = 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -700, 700)))
+                yield pa.RecordBatch.from_arrays([step.column(key), *(pa.array(c) for c in x.T), pa.array(score), pa.array([n for _, n in rows], pa.int64())], [key, *FEATURES, "score", "n_hits"])
 
     kind = df.schema[key].dataType.simpleString()
     return map_arrow(df.select(key, "text"), run, f"{key} {kind}, " + ", ".join(f"{f} double" for f in FEATURES) + ", score double, n_hits bigint")
@@ -257,11 +265,12 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.3, text_col:
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher, w = _matcher(tuple(model.entries)), np.array(model.coefficients)
-        for batch in text_steps(batches, text_col):
-            rows = features([t or "" for t in batch.column(names.index(text_col)).to_pylist()], matcher, model)
-            lines = (w[0] + w[1:] @ np.array(r) for r, _ in rows)
-            keep = [1 / (1 + math.exp(-max(-700.0, min(700.0, z)))) < threshold for z in lines]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        w = np.array(model.coefficients)
+        with _matcher(model.entries) as matcher:
+            for batch in text_steps(batches, text_col):
+                rows = features([t or "" for t in batch.column(names.index(text_col)).to_pylist()], matcher, model)
+                lines = (w[0] + w[1:] @ np.array(r) for r, _ in rows)
+                keep = [1 / (1 + math.exp(-max(-700.0, min(700.0, z)))) < threshold for z in lines]
+                yield batch.filter(pa.array(keep, pa.bool_()))
 
     return map_arrow(docs, run, docs.schema)
