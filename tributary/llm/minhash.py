@@ -11,9 +11,8 @@ each class by the length of their lists, rarest first. Two classes that share at
 k - s + 1 of both, so only those stay indexed: a value that many documents have in common stays for a class only if most of its values are such.
 
 In each list all classes first meet one picked member, which is linear in the lists. Then only pairs between different components are left to try:
-all of them in lists of at most ``LIST`` classes; in a longer list its classes outside the largest component first meet further members of that in a few
-rounds. Classes of lists that are parted even then are indexed again by ``SKETCH`` values, of which ``SHARED_WIDE`` must be shared (missed with about
-5e-6), rarest among themselves first. Classes that are joined by such lists are a family, as edited copies of one text are that are too unlike to be
+all of them in lists of at most ``LIST`` classes. The classes of longer lists that hold several components are indexed again, by ``SKETCH`` values, of which
+``SHARED_WIDE`` must be shared (missed with about 5e-6), rarest among themselves first. Classes that are joined by such lists are a family, as edited copies of one text are that are too unlike to be
 linked: a family is compared on full sets, block by block, and a pair of blocks gives a forest of links only. So no list is cut, and neither a common passage nor
 a family gives all its pairs.
 """
@@ -32,8 +31,6 @@ from .sketch import SHINGLE_WORDS, shingle_hashes
 
 #: Values in a sketch, values of it that are indexed, classes in a list from which it is long.
 SKETCH, INDEX, LIST = 64, 16, 32
-#: Rounds in which classes outside a long list's largest component meet that many picked members of it.
-ROUNDS, PICKED = 2, 2
 #: Indexed values, and values of whole sketches, that a pair shares at least.
 SHARED, SHARED_WIDE = 4, 32
 #: Classes of a family in one block.
@@ -148,17 +145,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     groups = joined(groups, lists.where("class <> picked").select(*_pair("class", "picked")).distinct())
     groups = joined(groups, _between(lists.where(F.col("listed") <= LIST), groups, part, whole))
-    long = lists.where(F.col("listed") > LIST)
-    for turn in range(ROUNDS):
-        outside = materialize(_outside(long, groups), "outside")
-        if outside.isEmpty():
-            break
-        groups = joined(groups, _picked(long, outside, groups, turn))
-    else:
-        apart = _outside(long, groups).select("value").distinct()
-        left = classes.join(long.join(apart, "value", "left_semi").select("class").distinct(), "class", "left_semi")
-        wide = materialize(_lists(left, SKETCH, SHARED_WIDE, part, whole), "lists")
-        groups = joined(groups, wide.where("class <> picked").select(*_pair("class", "picked")).distinct())
+    left = _parted(lists.where(F.col("listed") > LIST), groups).select("class").distinct()
+    wide = materialize(_lists(classes.join(left, "class", "left_semi"), SKETCH, SHARED_WIDE, part, whole), "lists")
+    if not wide.isEmpty():
         more = materialize(_within_families(_families(wide, groups), sets, groups, part, whole), "links")
         groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
@@ -174,30 +163,16 @@ def _with_components(lists: DataFrame, groups: DataFrame) -> DataFrame:
     return lists.join(groups.select(F.col("node").alias("class"), "component"), "class", "left").withColumn("component", F.coalesce("component", "class"))
 
 
-def _outside(lists: DataFrame, groups: DataFrame) -> DataFrame:
-    """``value, x, top``: classes outside the largest component ``top`` of a list."""
+def _parted(lists: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of lists that hold several components, with the component of each class."""
     rows = _with_components(lists, groups)
-    sizes = rows.groupBy("value", "component").agg(F.count(F.lit(1)).alias("held"))
-    largest = sizes.groupBy("value").agg(F.max(F.struct("held", "component"))["component"].alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("value", "top")
-    return rows.join(largest, "value").where("component <> top").select("value", F.col("class").alias("x"), "top")
-
-
-def _picked(lists: DataFrame, outside: DataFrame, groups: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each class outside a component with a few members of it, from one of the lists that they share and others in each turn."""
-    one = outside.groupBy("x", "top").agg(F.min(F.struct(F.xxhash64("value", F.lit(turn)), "value"))["value"].alias("value"))
-    tops = one.select("value", F.col("top").alias("component")).distinct()
-    members = _with_components(lists, groups).join(tops, ["value", "component"], "left_semi")
-    lane = F.pmod(F.xxhash64("class", F.lit(turn)), F.lit(PICKED))
-    picked = members.groupBy("value", "component", lane.alias("lane")).agg(F.min(F.struct(F.xxhash64("class", F.lit(turn)), "class"))["class"].alias("y"))
-    met = one.join(picked.select("value", F.col("component").alias("top"), "y"), ["value", "top"])
-    return met.select(*_pair("x", "y")).distinct()
+    parted = rows.groupBy("value").agg((F.min("component") < F.max("component")).alias("parted")).where("parted").select("value")
+    return rows.join(parted, "value", "left_semi")
 
 
 def _families(lists: DataFrame, groups: DataFrame) -> DataFrame:
     """``class, family, size``: classes joined by lists that hold several components."""
-    rows = _with_components(lists, groups)
-    parted = rows.groupBy("value").agg((F.min("component") < F.max("component")).alias("parted")).where("parted").select("value")
-    found = components(rows.join(parted, "value", "left_semi").where("class <> picked").select(*_pair("class", "picked")))
+    found = components(_parted(lists, groups).where("class <> picked").select(*_pair("class", "picked")))
     sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     return found.join(sizes, "component").select(F.col("node").alias("class"), F.col("component").alias("family"), "size")
 
