@@ -16,6 +16,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # The letters that hosts are lower-cased by.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -74,7 +76,7 @@ def best_rules(urls: DataFrame, rules: DataFrame, sweep_rows: int = 100_000) ->
     A host that a large share of all URLs falls under is swept in several lanes of about ``sweep_rows`` probes,
     each with a copy of that host's rules.
     """
-    stacked = _stacked(rules)
+    stacked = materialize(_stacked(rules), "rules")
     hosts = stacked.groupBy("key").agg(F.max(F.col("stack")[0]["depth"]).alias("depth"))
     deepest = hosts.agg(F.max("depth").alias("deepest"))
     levels = (
@@ -95,7 +97,8 @@ def best_rules(urls: DataFrame, rules: DataFrame, sweep_rows: int = 100_000) ->
     )
     # Where a path equals a rule's, the rule starts first.
     sweep = Window.partitionBy("key", "lane").orderBy("path", F.col("url").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    swept = events.withColumn("stack", F.last("stack", ignorenulls=True).over(sweep)).where("url is not null")
+    # The joins dealt the rows by key alone; only an exchange by lane spreads a hot host.
+    swept = events.repartition("key", "lane").withColumn("stack", F.last("stack", ignorenulls=True).over(sweep)).where("url is not null")
     covering = F.filter("stack", lambda r: F.col("path").startswith(r["rule_path"]))
     fits = swept.withColumn("hit", F.try_element_at(covering, F.lit(-1))).where("hit is not null")
     best = fits.groupBy("url").agg(F.max(F.struct(F.col("hit.depth").alias("depth"), F.col("hit.n").alias("n"), F.col("hit.verdict").alias("verdict"), F.col("hit.rule").alias("rule"))).alias("best"))
