@@ -1,11 +1,14 @@
 """Running totals, quantiles, AUC and folds against brute force, hot groups included."""
 
+import datetime
+from decimal import Decimal
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from tributary.operators.encode import quantile_bin
-from tributary.operators.ordered import exact_median, exact_quantiles, running_total
+from tributary.operators.ordered import exact_median, exact_quantiles, numbered, ranked, running_total
 from tributary.operators.rollup import trend_slope
 from tributary.operators.selection import permute_label
 from tributary.operators.validation import auc, exact_folds, hash_fold
@@ -56,6 +59,33 @@ def test_running_total_null_group_and_empty(spark):
     assert running_total(df.limit(0), ["g"], "at", F.lit(1), out="b").count() == 0
 
 
+KEYS = {
+    "string": lambda i: f"k{i % 700:04d}",
+    "decimal(38,10)": lambda i: Decimal(i % 700) / 7 + Decimal(10) ** 20,
+    "timestamp": lambda i: datetime.datetime(2020, 1, 1) + datetime.timedelta(microseconds=i % 700),
+    "binary": lambda i: bytes([i % 700 // 256, i % 256]),
+}
+
+
+@pytest.mark.parametrize("kind", KEYS)
+def test_numbers_for_keys_of_any_type(spark, kind):
+    """Groups, one of them with a third of all rows, null keys first, ties by a further key."""
+    make = KEYS[kind]
+    rows = [(i, i % 3 if i % 3 else 100 + i % 5, None if i % 50 == 0 else make(i * 7919 % 3000), f"t{i % 11}") for i in range(3000)]
+    df = spark.createDataFrame(rows, f"id long, g int, at {kind}, tie string").repartition(5)
+    want = {}
+    for g in {r[1] for r in rows}:
+        own = sorted((r for r in rows if r[1] == g), key=lambda r: (r[2] is not None, r[2] or 0, r[3], r[0]))
+        want |= {r[0]: i for i, r in enumerate(own)}
+    got = numbered(df, ["at", "tie", "id"], "r", ["g"])
+    assert got.columns == ["id", "g", "at", "tie", "r"] and {r.id: r.r for r in got.collect()} == want
+    whole = sorted(r.r for r in numbered(df, ["at"], "r").collect())
+    assert whole == list(range(3000)) and numbered(df.limit(0), ["at"], "r", ["g"]).count() == 0
+    names = ranked(df.select(F.col("id").cast("string").alias("name"), "g"), ["g"], "name", None, "r").collect()
+    for g in {r[1] for r in rows}:
+        assert [r.name for r in sorted((r for r in names if r.g == g), key=lambda r: r.r)] == sorted(str(r[0]) for r in rows if r[1] == g)
+
+
 @pytest.mark.parametrize("parts", [2, 4, 100])
 def test_quantiles(spark, parts):
     pdf = skewed()

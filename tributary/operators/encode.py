@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .ordered import exact_quantiles, with_interval
+from .ordered import exact_quantiles, numbered, with_interval
 
 MAX_CATEGORIES = 1000
 
@@ -96,8 +95,7 @@ def ordinal_encode(df: DataFrame, columns: list[str], vocab: dict[str, list[str]
     if vocab is None:
         for c in columns:
             own = df.select(F.col(c)).where(F.col(c).isNotNull()).distinct()
-            ranked = own.withColumn("__code", F.row_number().over(W.orderBy(c)) - 1)
-            df = df.join(ranked, on=c, how="left").select(
+            df = df.join(numbered(own, [c], "__code"), on=c, how="left").select(
                 *[F.coalesce("__code", F.lit(-1)).cast("int").alias(c) if n == c else F.col(n) for n in df.columns]
             )
         return df

@@ -16,6 +16,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import materialize
 
 _INF = float("inf")
 #: Rows that one cell, and so one window task, is meant to hold.
@@ -121,6 +124,37 @@ def running_total(
     return joined.select(*keep)
 
 
+def numbered(df: DataFrame, order: list[str], out: str, by: list[str] | None = None) -> DataFrame:
+    """Number from 0 of each row of its group in the order of columns of any orderable type, nulls first.
+
+    Spark deals the rows into ranges of (group, order), sorts each and writes them once with their place in the range; counts per
+    range, one row for each, give the offsets. A hot group spreads over ranges, and a hot value along the further columns. Rows equal
+    in all of them are numbered in any order, but once.
+    """
+    by = by or []
+    ranges = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
+    # Partition in the upper bits, place in the partition in the lower 33.
+    placed = materialize(ranges.withColumn("__at", F.monotonically_increasing_id()), "numbered")
+    placed = placed.withColumns({"__range": F.shiftrightunsigned("__at", 33), "__in": F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))})
+    counts = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = counts.select("__range", (F.sum("__n").over(W.orderBy("__range")) - F.col("__n")).alias("__before"))
+    every = placed.join(before, "__range").withColumn(out, F.col("__before") + F.col("__in"))
+    if not by:
+        return every.select(*df.columns, out)
+    first = every.groupBy(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(by)]).agg(F.min(out).alias("__first"))
+    same = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(by)]
+    return every.join(first, same).select(*df.columns, (F.col(out) - F.col("__first")).alias(out))
+
+
+def ranked(df: DataFrame, by: list[str], order: str, tie_break: str | None, out: str) -> DataFrame:
+    """Number from 0 of each row of its group by (order, tie_break): in cells of numbers, or in ranges where a column has another type."""
+    plain = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+    columns = [order, *([tie_break] if tie_break else [])]
+    if all(isinstance(df.schema[c].dataType, plain) for c in columns):
+        return running_total(df, by, order, F.lit(1), out=out, tie_break=tie_break)
+    return numbered(df, columns, out, by)
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import running_total
+from .ordered import ranked
 
 
 def child_rollup(df: DataFrame, child_key: str, month: str, indicators: list[str]) -> DataFrame:
@@ -54,8 +54,6 @@ def missed_payment_pct(df: DataFrame, key: str, due: str, paid: str, out: str) -
 
 
 def trend_slope(df: DataFrame, key: str, order: str, tie_break: str, value: str, out: str) -> DataFrame:
-    """Slope of the degree-1 fit of position (0..n-1 in time order) on value, per entity."""
-    placed = running_total(
-        df.select(key, order, tie_break, value), [key], order, F.lit(1), out="__pos", tie_break=tie_break
-    )
+    """Slope of the degree-1 fit of position (0..n-1 in time order) on value, per entity; order keys may be timestamps or names."""
+    placed = ranked(df.select(key, order, tie_break, value), [key], order, tie_break, "__pos")
     return placed.groupBy(key).agg(F.regr_slope(F.col("__pos").cast("double"), F.col(value)).alias(out))

@@ -9,20 +9,20 @@ from pyspark.sql import functions as F
 
 from ..functions.pvalue import t_two_sided
 from ..functions.ratios import ratio
-from .ordered import running_total
+from .ordered import ranked
 from .validation import hash_order
 
 
 def permute_label(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
-    """Seeded permutation of the label over its rows; label counts stay exact.
+    """Seeded permutation of the label over its rows; label counts stay exact. Keys may have any orderable type.
 
     The row at rank r by key takes the label of the row at rank r by hash.
     """
-    rows = running_total(df.where(F.col(label).isNotNull()), [], key, F.lit(1), out="__r")
+    rows = ranked(df.where(F.col(label).isNotNull()), [], key, None, "__r")
     mixed = df.where(F.col(label).isNotNull()).select(
         F.col(key).alias("__k"), F.col(label).alias("__y"), hash_order(key, seed).alias("__h")
     )
-    donors = running_total(mixed, [], "__h", F.lit(1), out="__r", tie_break="__k").select("__r", "__y")
+    donors = ranked(mixed, [], "__h", "__k", "__r").select("__r", "__y")
     columns = [F.col("__y").alias(label) if c == label else F.col(c) for c in df.columns]
     return rows.join(donors, on="__r").select(*columns)
 
@@ -31,12 +31,12 @@ def permute_labels(df: DataFrame, key: str, label: str, seeds: Sequence[int]) ->
     """``key, labels``: for each seed, in order, what ``permute_label`` gives, all from one ordering by key and one by (seed, hash)."""
     known = df.where(F.col(label).isNotNull()).select(F.col(key).alias("__k"), F.col(label).alias("__y"))
     if not seeds:
-        return known.select(F.col("__k").alias(key), F.array().cast("array<int>").alias("labels"))
+        return known.select(F.col("__k").alias(key), F.array().cast(f"array<{df.schema[label].dataType.simpleString()}>").alias("labels"))
     hashes = F.array(*[F.struct(F.lit(p).alias("__p"), hash_order("__k", s).alias("__h")) for p, s in enumerate(seeds)])
     mixed = known.select("__k", "__y", F.inline(hashes))
-    donors = running_total(mixed, ["__p"], "__h", F.lit(1), out="__r", tie_break="__k")
+    donors = ranked(mixed, ["__p"], "__h", "__k", "__r")
     labels = F.transform(F.array_sort(F.collect_list(F.struct("__p", "__y"))), lambda e: e["__y"])
-    rows = running_total(known, [], "__k", F.lit(1), out="__r")
+    rows = ranked(known, [], "__k", None, "__r")
     return rows.join(donors.groupBy("__r").agg(labels.alias("labels")), on="__r").select(F.col("__k").alias(key), "labels")
 
 

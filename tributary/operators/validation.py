@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ratios import ratio
-from .ordered import running_total
+from .ordered import ranked, running_total
 
 
 def _digest(key: Column | str, seed: int) -> Column:
@@ -25,12 +25,10 @@ def hash_fold(key: Column | str, folds: int, seed: int) -> Column:
 
 
 def exact_folds(df: DataFrame, key: str, folds: int, seed: int, stratify: str | None = None, out: str = "fold") -> DataFrame:
-    """Folds whose sizes differ by at most one (per class when stratified)."""
+    """Folds whose sizes differ by at most one (per class when stratified); keys of any type."""
     mixed = df.withColumn("__h", hash_order(key, seed))
-    ranked = running_total(
-        mixed, [stratify] if stratify else [], "__h", F.lit(1), out="__r", tie_break=key
-    )
-    return ranked.withColumn(out, (F.col("__r") % folds).cast("int")).drop("__h", "__r")
+    placed = ranked(mixed, [stratify] if stratify else [], "__h", key, "__r")
+    return placed.withColumn(out, (F.col("__r") % folds).cast("int")).drop("__h", "__r")
 
 
 def auc(df: DataFrame, label: str, score: str, by: list[str] | None = None, out: str = "auc") -> DataFrame:

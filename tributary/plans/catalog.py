@@ -261,7 +261,7 @@ def trend_ratio_query(spark: SparkSession, sf: str) -> DataFrame:
     wide = spread(_order_windows(spark, sf), "o_custkey", ["90", ALL_WINDOW])
     ratios = trend_ratio(wide, "90", ALL_WINDOW)
     return ratios.select(
-        "o_custkey", *[rounded(c, 6).alias(c) for c in ratios.columns if c.startswith("fc_") and not c.endswith("_VAR")]
+        "o_custkey", *[rounded(c, 6).alias(c) for c in ratios.columns if c.startswith("fc_")]
     )
 
 
@@ -411,6 +411,13 @@ def trend_slope(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("user_id", rounded("slope", 8).alias("slope"))
 
 
+def trend_by_time(spark: SparkSession, sf: str) -> DataFrame:
+    """The trend of event values in the order of timestamps, ties by a text."""
+    events = table(spark, sf, "events").withColumn("tie", F.concat_ws("#", "event_type", F.lpad(F.col("event_id").cast("string"), 12, "0")))
+    out = rollup.trend_slope(events, "event_type", "ts", "tie", "value", "slope")
+    return out.select("event_type", rounded("slope", 6).alias("slope"))
+
+
 def target_encode(spark: SparkSession, sf: str) -> DataFrame:
     docs = labelled_documents(spark, sf).select("doc_id", "source", "TARGET")
     folded = docs.withColumn("fold", F.when(F.col("TARGET").isNotNull(), hash_fold("doc_id", 5, SEED)))
@@ -472,6 +479,24 @@ def feature_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return _money(assemble.feature_matrix(scan_entity(spark, sf).select("c_custkey", "c_acctbal"), "c_custkey", blocks))
 
 
+def level1_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Every window, every status and every function, variances included: one row per customer."""
+    made = payment_features("DAYS_INSTALMENT", "DAYS_ENTRY_PAYMENT", "AMT_INSTALMENT", "AMT_PAYMENT")
+    windows = [str(d) for d in DAYS] + [ALL_WINDOW]
+    orders = windowed_agg(order_history(spark, sf), "o_custkey", {"o_totalprice": aggspec.ALL6}, Windows("DAYS_CREDIT", DAYS), _STATUS)
+    payments = windowed_agg(
+        line_history(spark, sf).withColumns(made), "o_custkey", {"DPD": aggspec.ALL6, "AMT_PAYMENT": aggspec.ALL6},
+        Windows("DAYS_INSTALMENT", DAYS), prefix="INSTAL_", size="INSTAL_COUNT",
+    )
+    events = windowed_agg(event_history(spark, sf), "user_id", {"value": aggspec.ALL6}, Windows("DAYS_EVENT", EVENT_DAYS), prefix="POS_", size="POS_COUNT")
+    blocks = [
+        spread(orders, "o_custkey", windows, list(_STATUS.names), lambda w, s, f: f"{w}_bb_{s}_{f}").withColumnRenamed("o_custkey", "c_custkey"),
+        spread(payments, "o_custkey", windows, name=lambda w, s, f: f"{w}_instpay_{f}").withColumnRenamed("o_custkey", "c_custkey"),
+        spread(events, "user_id", [str(d) for d in EVENT_DAYS] + [ALL_WINDOW], name=lambda w, s, f: f"{w}_poscash_{f}").withColumnRenamed("user_id", "c_custkey"),
+    ]
+    return _money(assemble.feature_matrix(scan_entity(spark, sf).select("c_custkey"), "c_custkey", blocks))
+
+
 def stack_features(spark: SparkSession, sf: str) -> DataFrame:
     docs = labelled_documents(spark, sf).select("doc_id", "n_chars", "TARGET")
     first = docs.select("doc_id", F.lit("length").alias("model"), ratio("n_chars", F.lit(1000)).alias("score"))
@@ -503,6 +528,12 @@ def kfold_stratified(spark: SparkSession, sf: str) -> DataFrame:
     return exact_folds(labels, "doc_id", 5, 1001, stratify="quality")
 
 
+def kfold_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Equal folds within each segment over text keys."""
+    names = table(spark, sf, "customer").select("c_name", "c_mktsegment")
+    return exact_folds(names, "c_name", 5, 1001, stratify="c_mktsegment")
+
+
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
     docs = labelled_documents(spark, sf).where(F.col("TARGET").isNotNull())
     return docs.select("doc_id", "TARGET", "n_chars", hash_fold("doc_id", 3, SEED).alias("fold"))
@@ -520,6 +551,13 @@ def permute_label(spark: SparkSession, sf: str) -> DataFrame:
     return selection.permute_label(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "quality", SEED)
 
 
+def permute_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Three permutations of the segments over text keys, as columns."""
+    names = table(spark, sf, "customer").select("c_name", "c_mktsegment")
+    mixed = selection.permute_labels(names, "c_name", "c_mktsegment", [SEED, SEED + 1, SEED + 2])
+    return mixed.select("c_name", *[F.col("labels")[i].alias(f"segment{i}") for i in range(3)])
+
+
 def test_score_mean(spark: SparkSession, sf: str) -> DataFrame:
     test = labelled_documents(spark, sf).where(F.col("TARGET").isNull())
     per_fold = test.select(
@@ -720,10 +758,14 @@ QUERIES = {
     "target_encode": target_encode,
     "flagship": flagship,
     "feature_matrix": feature_matrix,
+    "level1_blocks": level1_blocks,
     "stack_features": stack_features,
     "kfold_assign": kfold_assign,
     "kfold_exact": kfold_exact,
     "kfold_stratified": kfold_stratified,
+    "kfold_names": kfold_names,
+    "permute_names": permute_names,
+    "trend_by_time": trend_by_time,
     "auc_by_fold": auc_by_fold,
     "auc_full": auc_full,
     "permute_label": permute_label,

@@ -164,6 +164,23 @@ def _bb(limit: int | None, slice_: str, fns: list[tuple[str, str, int]]) -> str:
     return ", ".join(out)
 
 
+_ALL6 = [("max", "MAX", 4), ("avg", "MEAN", 4), ("sum", "SUM", 2), ("min", "MIN", 4), ("var_samp", "VAR", 4), ("count", "COUNT", -1)]
+
+
+def _window_block(table: str, key: str, alias: str, columns: list[tuple[str, str]], day: str, limits: list[int | None], name: str, size: str) -> str:
+    """All functions of the columns in each window, and the rows of each."""
+    out = []
+    for limit in limits:
+        where, label = (f"{day} >= -{limit}", str(limit)) if limit else ("TRUE", "False")
+        for column, shown in columns:
+            for fn, tag, d in _ALL6:
+                x = f"{fn}({column}) FILTER (WHERE {where})"
+                x = f"nullif({x}, 0)" if tag == "COUNT" else rd(f"{x} / 1e6" if tag == "VAR" else x, d)
+                out.append(f'{x} AS "{label}_{name}_{shown}_{tag}"')
+        out.append(f'nullif(count(*) FILTER (WHERE {where}), 0) AS "{label}_{name}_{size}"')
+    return f"{alias} AS (SELECT {key} AS {alias}_key, {', '.join(out)} FROM {table} GROUP BY 1)"
+
+
 _COUNT_MEAN_SUM = [("count", "COUNT", -1), ("avg", "MEAN", 4), ("sum", "SUM", 2)]
 _WITH_VAR = _COUNT_MEAN_SUM + [("var_samp", "VAR", 4)]
 
@@ -245,13 +262,13 @@ SELECT o_custkey, w AS "window", {all6('o_totalprice')}
 FROM orders_h JOIN win ON lim IS NULL OR DAYS_CREDIT >= -lim GROUP BY 1, 2""",
     "trend_ratio": f"""WITH {ORDERS}, a AS (
   SELECT o_custkey, max(o_totalprice) mx, avg(o_totalprice) me, sum(o_totalprice) su, min(o_totalprice) mi,
-         count(o_totalprice) ct FROM orders_h GROUP BY 1),
+         count(o_totalprice) ct, var_samp(o_totalprice) va FROM orders_h GROUP BY 1),
 r AS (
   SELECT o_custkey, max(o_totalprice) mx, avg(o_totalprice) me, sum(o_totalprice) su, min(o_totalprice) mi,
-         count(o_totalprice) ct FROM orders_h WHERE DAYS_CREDIT >= -90 GROUP BY 1)
+         count(o_totalprice) ct, var_samp(o_totalprice) va FROM orders_h WHERE DAYS_CREDIT >= -90 GROUP BY 1)
 SELECT a.o_custkey, {rd('r.mx / a.mx', 6)} AS fc_o_totalprice_MAX, {rd('r.me / a.me', 6)} AS fc_o_totalprice_MEAN,
   {rd('r.su / a.su', 6)} AS fc_o_totalprice_SUM, {rd('r.mi / a.mi', 6)} AS fc_o_totalprice_MIN,
-  {rd('r.ct / a.ct', 6)} AS fc_o_totalprice_COUNT
+  {rd('r.ct / a.ct', 6)} AS fc_o_totalprice_COUNT, {rd('r.va / nullif(a.va, 0)', 6)} AS fc_o_totalprice_VAR
 FROM a LEFT JOIN r ON a.o_custkey = r.o_custkey""",
     "two_level_agg": f"""WITH bb AS (
   SELECT l_orderkey, min(l_linenumber) mn, max(l_linenumber) mx, count(*) sz,
@@ -361,6 +378,13 @@ e AS (
   FROM events_h GROUP BY 1)
 SELECT c_custkey, c_acctbal, b.* EXCLUDE (bk), i.* EXCLUDE (ik), e.* EXCLUDE (ek)
 FROM customer LEFT JOIN b ON c_custkey = bk LEFT JOIN i ON c_custkey = ik LEFT JOIN e ON c_custkey = ek""",
+    "level1_blocks": f"""WITH {ORDERS}, {LINES}, {EVENTS}, b AS (
+  SELECT o_custkey AS b_key, {", ".join(_bb(l, s, _ALL6) for l in (90, 180, 270, 360, None) for s in ("BURO", "ACTIVE", "CLOSED"))}
+  FROM orders_h GROUP BY 1),
+{_window_block("paid_h", "o_custkey", "i", [("dpd", "INSTAL_DPD"), ("paid", "INSTAL_AMT_PAYMENT")], "due_day", [90, 180, 270, 360, None], "instpay", "INSTAL_COUNT")},
+{_window_block("events_h", "user_id", "e", [("value", "POS_value")], "DAYS_EVENT", [7, 14, 21, None], "poscash", "POS_COUNT")}
+SELECT c_custkey, b.* EXCLUDE (b_key), i.* EXCLUDE (i_key), e.* EXCLUDE (e_key)
+FROM customer LEFT JOIN b ON c_custkey = b_key LEFT JOIN i ON c_custkey = i_key LEFT JOIN e ON c_custkey = e_key""",
     "stack_features": f"""WITH {DOCS} SELECT doc_id, TARGET, {rd('n_chars / 1000.0', 6)} AS length,
 {rd('CASE WHEN TARGET IS NOT NULL THEN (doc_id % 7 + doc_id % 11) / 2.0 END', 6)} AS parity FROM docs""",
     "kfold_assign": f"SELECT doc_id, {fold('doc_id', 5, 1001)} AS fold5, {fold('doc_id', 12, 2018)} AS fold12 FROM labels",
@@ -369,6 +393,15 @@ CAST((row_number() OVER (ORDER BY {hash_order('doc_id', 1001)}, doc_id) - 1) % 1
     "kfold_stratified": f"""SELECT doc_id, quality,
 CAST((row_number() OVER (PARTITION BY quality ORDER BY {hash_order('doc_id', 1001)}, doc_id) - 1) % 5 AS INTEGER) AS fold
 FROM labels""",
+    "kfold_names": f"""SELECT c_name, c_mktsegment,
+CAST((row_number() OVER (PARTITION BY c_mktsegment ORDER BY {hash_order('c_name', 1001)}, c_name) - 1) % 5 AS INTEGER) AS fold
+FROM customer""",
+    "permute_names": f"""WITH a AS (SELECT c_name, row_number() OVER (ORDER BY c_name) AS r FROM customer),
+{", ".join(f"b{i} AS (SELECT c_mktsegment AS segment{i}, row_number() OVER (ORDER BY {hash_order('c_name', 1001 + i)}, c_name) AS r FROM customer)" for i in range(3))}
+SELECT c_name, segment0, segment1, segment2 FROM a JOIN b0 USING (r) JOIN b1 USING (r) JOIN b2 USING (r)""",
+    "trend_by_time": f"""WITH p AS (
+  SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY ts, lpad(event_id::VARCHAR, 12, '0')) - 1 AS pos FROM events)
+SELECT event_type, {rd('regr_slope(pos, value)', 6)} AS slope FROM p GROUP BY 1""",
     "auc_by_fold": auc("fold"),
     "auc_full": auc(None),
     "permute_label": f"""WITH a AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS r FROM labels),
