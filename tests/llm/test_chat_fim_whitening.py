@@ -261,7 +261,7 @@ def test_whitening_of_nothing_and_of_large_entries(spark):
 # --- registered queries
 
 
-@pytest.mark.parametrize("name", ["op11_chat", "op12_middle"])
+@pytest.mark.parametrize("name", ["op2_passages", "op5_sorted_passes", "op10_bottom_k", "op11_chat", "op12_middle"])
 def test_query_equals_its_sql(spark, name):
     assert oracle.compare(queries.QUERIES[name](spark, SF_DIR), oracle.connect(SF_DIR), queries.ORACLE[name]) is None
 

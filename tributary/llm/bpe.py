@@ -5,7 +5,7 @@ characters; every pre-tokenisation pattern used here starts a new match wherever
 are the ids of its chunks joined. Chunks repeat heavily, and a worker keeps those it has met in a memo of bounded size.
 
 Nulls: a null text is encoded as the empty text and gives an empty list. Repeated rows and ids are encoded row by
-row. Only the id and text columns are read, so other columns cannot clash.
+row. Only the id and text columns are read, so other columns cannot clash. A very long text is encoded in one step, as a list of its chunks.
 """
 
 from __future__ import annotations

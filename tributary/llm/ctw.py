@@ -337,7 +337,7 @@ def score_texts(df: DataFrame, train: Column, id_col: str = "doc_id", text_col:
     ``train`` is the condition on rows that the model learns from (null counts as false). ``score`` is log10 of the probability of the
     text's bytes and its end mark under the context trees, ``bits_per_byte`` the code length for each of these symbols.
     ``base_score`` adds log10((c + 0.5) / (N + 0.5 (V + 1))) over words and one end mark, by counts in the training rows. A null text
-    is empty and scores its end mark only. Repeated rows count and are scored one by one. An empty table gives an empty result;
+    is empty and scores its end mark only. A very long text is part of one chunk; numpy holds some tens of bytes for each of its bytes at once. Repeated rows count and are scored one by one. An empty table gives an empty result;
     without training rows the byte odds are even.
     """
     on_workers(df.sparkSession)

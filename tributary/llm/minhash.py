@@ -120,7 +120,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Links join sets with ``whole * intersection >= part * union``. ``component_id`` is the smallest id reachable, ``kept``
     marks the rows with that id, ``component`` names the group and ``key`` the text. Null and empty texts
     have an empty set and a group of their own. Rows without an id join groups but never name one, so a group of them alone has a null
-    ``component_id``. Repeated rows are links like any copies. Only two columns are read. An empty table gives an empty result.
+    ``component_id``. Repeated rows are links like any copies. Only two columns are read, so others cannot clash. A very long text is one row, whose
+    set takes eight bytes a word. An empty table gives an empty result.
     """
     signed = _signatures(df, id_col, text_col, size)
     # Classes get numbers when they are written; joins and minima over numbers are cheap.
@@ -219,7 +220,8 @@ def _within_families(families: DataFrame, sets: DataFrame, groups: DataFrame, pa
 def one_of_each(df: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``df``, one for each component of ``near_duplicates`` and all with an empty set, columns unchanged.
 
-    The row with the smallest id stays, of several with that id the one with the smallest text key.
+    The row with the smallest id stays, of several with that id the one with the smallest text key. Columns travel as one value, so
+    any names may occur.
     """
     own = groups.where("component is not null").groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key")).alias("kept")).select("kept.id", "kept.key")
     keyed = df.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key"), F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))

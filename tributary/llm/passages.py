@@ -286,6 +286,7 @@ def without_passages(df: DataFrame, text_col: str = "text", **settings) -> DataF
     """Rows of ``df`` with repeated passages cut out of the text, other columns as they were.
 
     A character of which a cut leaves only some bytes goes as a whole. Rows stay even when nothing is left; a null text stays null.
+    Columns travel as one value, so any names may occur.
     """
     names = df.columns
     rows = df.select(text_key(F.col(text_col)).alias("key"), F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"))

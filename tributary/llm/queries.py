@@ -37,6 +37,24 @@ def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", text_key(F.col("text")).alias("key")).join(found, "key").drop("key")
 
 
+OP2_SQL = """
+WITH docs AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents), sized AS (SELECT *, CAST(length(h) // 2 AS BIGINT) AS n FROM docs),
+hashed AS MATERIALIZED (SELECT doc_id, unnest(range(n - 399)) AS p, unnest(list_transform(range(n - 399), lambda p: hash(substr(h, 2 * p + 1, 800)))) AS k FROM sized WHERE n >= 400),
+again AS (SELECT k FROM hashed GROUP BY k HAVING count(*) > 1),
+hits AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS q FROM hashed SEMI JOIN again USING (k)),
+runs AS (SELECT doc_id, p, sum(CASE WHEN q IS NULL OR p > q + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM hits),
+spans AS (SELECT doc_id, run, min(p) AS a, max(p) + 400 AS b FROM runs GROUP BY doc_id, run),
+sums AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed FROM spans GROUP BY doc_id),
+pieces AS (
+  SELECT doc_id, b AS a, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS b FROM spans
+  UNION ALL SELECT doc_id, 0, min(a) FROM spans GROUP BY doc_id
+  UNION ALL SELECT doc_id, 0, NULL FROM sized ANTI JOIN spans USING (doc_id)),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, n) - a)), '' ORDER BY a) AS h FROM pieces JOIN sized USING (doc_id) GROUP BY doc_id)
+SELECT s.doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(from_hex(k.h)) AS kept_sha256
+FROM sized s JOIN kept k ON k.doc_id = s.doc_id LEFT JOIN sums m ON m.doc_id = s.doc_id
+"""
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), BYTE_BPE, pack=True)
     return bpe.round_trip_digests(encoded, BYTE_BPE)
@@ -88,6 +106,20 @@ def op5_sorted_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+OP5_SQL = """
+WITH RECURSIVE rows AS (
+  SELECT vec_id, label, CASE WHEN len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 THEN embedding::DOUBLE[] END AS v FROM embeddings),
+units AS (SELECT vec_id, label, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS size FROM rows WHERE label IS NOT NULL AND len(v) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM units a JOIN units b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE a.size > 0 AND b.size > 0 AND list_inner_product(a.v, b.v) / (a.size * b.size) >= 0.93),
+reach AS (SELECT a AS node, b AS other FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+least AS (SELECT node, min(other) AS other FROM reach GROUP BY node), counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(other, vec_id)) AS component_id, vec_id <= coalesce(other, vec_id) AS kept
+FROM embeddings LEFT JOIN least ON node = vec_id LEFT JOIN counts ON a = vec_id
+"""
+
+
 def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = sketch.tail_swapped(table(spark, sf_dir, "documents"))
     return pairs.select(
@@ -111,6 +143,22 @@ def op10_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+OP10_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach AS (SELECT a AS node, b AS other FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+least AS (SELECT node, min(other) AS other FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(other, d.doc_id)) AS component_id, d.doc_id <= coalesce(other, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least ON node = d.doc_id
+"""
+
+
 # The conversation that the query adds, whose texts hold control strings.
 EXTRA_CHAT = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
 
@@ -195,4 +243,11 @@ QUERIES = {
     "op12_middle": op12_middle,
     "op13_whitening": op13_whitening,
 }
-ORACLE = {"op7_url_rules": OP7_SQL, "op11_chat": OP11_SQL, "op12_middle": OP12_SQL}
+ORACLE = {
+    "op2_passages": OP2_SQL,
+    "op5_sorted_passes": OP5_SQL,
+    "op7_url_rules": OP7_SQL,
+    "op10_bottom_k": OP10_SQL,
+    "op11_chat": OP11_SQL,
+    "op12_middle": OP12_SQL,
+}

@@ -93,6 +93,7 @@ def tail_swapped(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the last comes the first, and a single document is followed by itself. Null texts are empty. Among rows of one id the
     smallest text stands for the id as a next document. A row without an id has no next document: its tail is cut off
     and ``next_sketch`` is null. The text is shuffled once, with its sketch; only the heads move again.
+    A very long text is one row, whose hashes take eight bytes a word. Other columns are not read.
     """
     source = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     sketched = with_sketch(source, "text", "sketch", fraction)

@@ -135,7 +135,10 @@ def _figures(text: str, tokens: list[str], hit: set[str], matcher: Matcher, mode
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, train: Column | None, rows: int) -> DataFrame:
-    """At most ``rows`` labelled texts, written once. The ids joined by broadcast are bounded by ``rows``."""
+    """At most ``rows`` labelled ids with their texts, written once. The ids joined by broadcast are bounded by ``rows``.
+
+    Equal hashes are ordered by the id, so the choice has no ties; all rows of a chosen id are taken.
+    """
     own = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
     own = own if train is None else own.where(train)
     picked = own.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col)).cast("int").alias("label")).orderBy(F.xxhash64("id"), "id").limit(rows)
@@ -254,14 +257,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, score, n_hits`` of every whole text, row by row; a null text counts as empty, repeated rows score alike.
 
-    Only the text enters a score. No other column is read.
+    Only the text enters a score. No other column is read, so others cannot clash. A very long text is scored as a whole, a few Python objects a token.
     """
     rows = docs.select(F.col(id_col).alias("key"), F.col(text_col).cast("string").alias("text"))
     return _features(rows, model, "key").select(F.col("key").alias(id_col), "score", "n_hits")
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose text scores below ``threshold``, all columns as they were."""
+    """Rows of ``docs`` whose text scores below ``threshold``, all columns as they were and of any names; they are told apart by place."""
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
