@@ -367,8 +367,10 @@ def grow(rows: DataFrame, at: Round, preset: Preset) -> dict[int, list[tuple]]:
                 own = [p for p in here if larger[p] & 1 == right]
                 if own:
                     partial = partial.unionByName(written[step].where(_where(own, bits)).withColumn("node", F.col("node") * 2 + right))
-        whole = materialize(summed(partial), "histogram")
         targets = [(m, n) for m, nodes in scan.items() for n in nodes] + [(m, t) for (m, _), t in less.items()]
+        whole = summed(partial)
+        if any(n < 1 << (preset.depth - 1) for _, n in targets):  # children of these may be evaluated later
+            whole = materialize(whole, "histogram")
         held.update(dict.fromkeys(targets, len(written)))
         written.append(whole)
         symmetric = preset.growth == "symmetric"
