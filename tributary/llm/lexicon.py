@@ -15,7 +15,7 @@ from typing import NamedTuple
 import numpy as np
 
 #: Trie nodes in all states that an automaton keeps before it starts anew.
-NODES = 200_000
+NODES = 500_000
 #: Letters of an entry up to which its strings with characters deleted are kept; tokens near longer entries are always walked.
 LISTED = 24
 #: Tokens whose hashes are made at once.

@@ -34,7 +34,7 @@ STEM_LENGTHS = range(3, 9)
 #: Tokens of a context window, and tokens before a hit in which a reporting word makes it a quotation.
 WINDOW, REPORT = 40, 4
 #: Tokens whose match a worker keeps.
-MEMO = 150_000
+MEMO = 400_000
 
 # Marks inside words, digits and signs that stand for letters, quotation marks, reporting words.
 TOKEN = re.compile(r"[^\W_]+(?:[*@$!][^\W_]+)*")
@@ -90,7 +90,7 @@ class Matcher:
 
 @lru_cache(maxsize=1)
 def _matcher(entries: tuple[Entry, ...]) -> Matcher:
-    """One matcher for the tasks of a worker that have these entries; its size is bounded, for workers stay for later stages."""
+    """One matcher for the tasks of a worker that have these entries."""
     return Matcher(list(entries))
 
 
