@@ -8,7 +8,7 @@ from tributary.plans.catalog import QUERIES
 from tributary.plans.oracle import ORACLE
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-MODELS = {"oof_leafwise", "oof_symmetric", "stacked_oof", "null_selection"}
+MODELS = {"oof_leafwise", "null_selection"}
 
 
 @pytest.fixture(scope="module")
