@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tributary.llm import packing
 
@@ -69,3 +70,16 @@ def test_random_lengths_stay_near_the_best_single_capacity():
         steps = packing.plan(histogram, sizes)
         assert sorted(n for contents, _, _ in bins_of(steps).values() for n in contents) == sorted(lengths)
         assert cost_of(steps) <= 1.03 * plain_best_fit(lengths, sizes[-1], sizes)
+
+
+def test_lengths_are_worked_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def length(n):
+        seen.add(1)
+        return n % 7 + 1
+
+    rows = spark.range(40).select(F.col("id").alias("doc_id"), length.asNondeterministic()("id").alias("length"))
+    assert len(packing.pack(rows, capacities=(8, 16)).collect()) == 40
+    assert seen.value == 40

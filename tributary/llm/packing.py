@@ -17,6 +17,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .sketch import words
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
@@ -136,7 +137,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", length_col: str = "length", capa
     length have no piece; an empty table gives an empty result. The driver holds the histogram and the placements, which
     the largest capacity bounds and not the rows.
     """
-    items = pieces(df, id_col, length_col, max(capacities))
+    items = materialize(pieces(df, id_col, length_col, max(capacities)), "pieces")  # a length may cost a pass over the texts
     histogram = {r.length: r.n for r in items.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     steps = df.sparkSession.createDataFrame(plan(histogram, capacities, cost), PLACEMENT)
     inside = (F.col("item") >= F.col("first")) & (F.col("item") < F.col("first") + F.col("items"))
