@@ -8,6 +8,7 @@ import hashlib
 import math
 import random
 import re
+import weakref
 import zlib
 
 import numpy as np
@@ -596,3 +597,22 @@ def test_pipeline_stages(spark):
 def test_text_key(spark):
     got = spark.createDataFrame([("é",), (None,)], "text string").select(text_key(F.col("text")).alias("k")).collect()
     assert [bytes(r.k) for r in got] == [hashlib.sha256(t.encode()).digest()[:16] for t in ("é", "")]
+
+
+def test_one_matcher_at_a_time(monkeypatch):
+    alive = weakref.WeakSet()
+
+    class Counted:
+        def __init__(self, entries):
+            assert not alive, "a worker holds the matcher of an older model while it builds one"
+            alive.add(self)
+
+    monkeypatch.setattr(toxicity, "Matcher", Counted)
+    for term in ("first", "second"):
+        assert toxicity._matcher((lexicon.Entry(term, False),)) is toxicity._matcher((lexicon.Entry(term, False),))
+
+
+def test_passages_are_cut_and_decoded_by_one_function(spark):
+    rows = docs(spark, AWKWARD + [prose(random.Random(3), 200)] * 2)
+    plans = [f(rows)._jdf.queryExecution().optimizedPlan().toString() for f in (passages.repeated_passages, passages.without_passages)]
+    assert plans[0].count("MapInArrow") == plans[1].count("MapInArrow")

@@ -14,7 +14,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -88,10 +87,15 @@ class Matcher:
         return [(t, self.hits.keys() & set(t)) for t in tokens]
 
 
-@lru_cache(maxsize=1)
+_MATCHERS: dict[tuple[Entry, ...], Matcher] = {}
+
+
 def _matcher(entries: tuple[Entry, ...]) -> Matcher:
-    """One matcher for the tasks of a worker that have these entries."""
-    return Matcher(list(entries))
+    """One matcher for the tasks of a worker that have these entries. The one before goes first, so that never two are held."""
+    if entries not in _MATCHERS:
+        _MATCHERS.clear()
+        _MATCHERS[entries] = Matcher(list(entries))
+    return _MATCHERS[entries]
 
 
 def features(texts: list[str], matcher: Matcher, model: Model) -> list[tuple[list[float], int]]:
