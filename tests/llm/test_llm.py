@@ -616,3 +616,23 @@ def test_passages_are_cut_and_decoded_by_one_function(spark):
     rows = docs(spark, AWKWARD + [prose(random.Random(3), 200)] * 2)
     plans = [f(rows)._jdf.queryExecution().optimizedPlan().toString() for f in (passages.repeated_passages, passages.without_passages)]
     assert plans[0].count("MapInArrow") == plans[1].count("MapInArrow")
+
+
+@pytest.mark.parametrize(("file", "chunks"), [(queries.BYTE_BPE, bpe.SPACED), (queries.WORD_BPE, bpe.UNSPACED)])
+def test_words_reach_the_model_together(file, chunks):
+    words = [f"{a}{b}{c}é"[: 3 + (a > b)] for a in "abcdefghijk" for b in "lmnopqrst" for c in "uvwxyzabé"]
+    texts = [" ".join(words[:400]), "", " ! ", " ".join(words[300:]) + "\n\n", "x" * 300 + " ab!cd 12", *words[:5]]
+    coder, given = bpe.ChunkEncoder(file, chunks), []
+    model = coder.model
+
+    class Counted:
+        def encode_batch_fast(self, batch, **settings):
+            given.extend(batch)
+            return model.encode_batch_fast(batch, **settings)
+
+    coder.model = Counted()
+    for _ in range(2):  # the second time from the memo
+        ids, counts = coder.encode(texts)
+        assert np.split(ids, np.cumsum(counts)[:-1])[3].tolist() == Tokenizer.from_file(file).encode(texts[3], add_special_tokens=False).ids
+        assert counts.tolist() == [len(Tokenizer.from_file(file).encode(t, add_special_tokens=False).ids) for t in texts]
+    assert 0 < len(given) < 8  # not one for each of 891 words

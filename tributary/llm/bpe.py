@@ -11,6 +11,7 @@ row. Only the id and text columns are read, so other columns cannot clash. A ver
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -19,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from .arrow import map_arrow, text_steps
 
@@ -35,6 +36,8 @@ ONE_WORD = {SPACED: re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+"), UNSPA
 
 #: Chunks a memo keeps before it starts anew, and the longest chunk it keeps.
 MEMO_CHUNKS, MEMO_LENGTH = 250_000, 64
+#: Single words that reach the model as one text, the mark between them (in none of them), and other chunks encoded at once.
+JOINED, MARK, AT_ONCE = 512, "!", 4096
 
 
 def byte_table() -> dict[str, int]:
@@ -49,6 +52,21 @@ def byte_table() -> dict[str, int]:
     return table
 
 
+class _Slots(dict):
+    """The slot of each chunk; a chunk that is looked up for the first time gets the next one and is listed in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+        self.given = 0
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = slot = self.given
+        self.given += 1
+        self.new.append(chunk)
+        return slot
+
+
 class ChunkEncoder:
     """Encodes texts chunk by chunk; ids and, if asked, character offsets of known chunks come from flat arrays."""
 
@@ -56,13 +74,16 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
         self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.Split(MARK, "isolated")
+        mark = self.model.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
         self.one_word = ONE_WORD[chunks].fullmatch
         self.to_characters = {b: c for c, b in byte_table().items()}
         self.chunks, self.offsets, self.memo_chunks = chunks, offsets, memo_chunks
         self._clear()
 
     def _clear(self) -> None:
-        self.slot: dict[str, int] = {}
+        self.slot = _Slots()
         self.ids, self.begins, self.ends = (np.empty(1 << 16, np.int32) for _ in range(3))
         self.first, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
         self.used = 0
@@ -72,44 +93,62 @@ class ChunkEncoder:
         if upto > len(held):
             setattr(self, name, np.concatenate([held, np.empty(max(upto - len(held), len(held)), held.dtype)]))
 
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of single words in a row, and ids per word. One encoding holds many words; the mark's id parts them."""
+        blank = self.to_characters[32]
+        mapped = [w.replace(" ", blank) if w.isascii() else w.encode().decode("latin-1").translate(self.to_characters) for w in words]
+        joined = [MARK.join([*mapped[i : i + JOINED], ""]) for i in range(0, len(mapped), JOINED)]
+        flat = [np.array(e.ids, np.int32) for e in self.model.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.concatenate([*flat, np.empty(0, np.int32)])
+        ends = np.flatnonzero(ids == self.mark)
+        return ids[ids != self.mark], np.diff(ends, prepend=-1) - 1
+
+    def _found(self, new: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The chunks in another order, their ids in a row, and ids per chunk."""
+        plain = [] if self.mark is None else [c for c in new if self.one_word(c)]
+        rest = list(set(new).difference(plain))
+        parts = [self._words(plain)]
+        for i in range(0, len(rest), AT_ONCE):
+            rows = [e.ids for e in self.tokenizer.encode_batch_fast(rest[i : i + AT_ONCE], add_special_tokens=False)]
+            sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+            parts.append((np.fromiter(chain.from_iterable(rows), np.int32, int(sizes.sum())), sizes))
+        ids, sizes = zip(*parts, strict=True)
+        return plain + rest, np.concatenate(ids), np.concatenate(sizes)
+
     def _learn(self, new: list[str]) -> None:
         if not new:
             return
         if self.offsets:
             found = self.tokenizer.encode_batch(new, add_special_tokens=False)
             rows = [e.ids for e in found]
+            sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+            ids = np.fromiter(chain.from_iterable(rows), np.int32, int(sizes.sum()))
         else:
-            plain = [c for c in new if self.one_word(c)]
-            new = plain + [c for c in new if not self.one_word(c)]
-            mapped = [c.encode().decode("latin-1").translate(self.to_characters) for c in plain]
-            rows = [e.ids for e in self.model.encode_batch_fast(mapped, add_special_tokens=False)]
-            rows += [e.ids for e in self.tokenizer.encode_batch_fast(new[len(plain) :], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, rows), np.int32, len(rows))
-        base, slot, total = self.used, len(self.slot), int(sizes.sum())
-        for name in ("ids", "begins", "ends"):
+            new, ids, sizes = self._found(new)
+        base, total = self.used, len(ids)
+        for name in ("ids", "begins", "ends")[: 3 if self.offsets else 1]:
             self._room(name, base + total)
         for name in ("first", "count"):
-            self._room(name, slot + len(new))
-        self.ids[base : base + total] = np.fromiter(chain.from_iterable(rows), np.int32, total)
+            self._room(name, self.slot.given)
+        self.ids[base : base + total] = ids
         if self.offsets:
             pairs = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in found)), np.int32, 2 * total)
             self.begins[base : base + total], self.ends[base : base + total] = pairs[0::2], pairs[1::2]
-        self.count[slot : slot + len(new)] = sizes
-        self.first[slot : slot + len(new)] = base + np.cumsum(sizes) - sizes
+        slots = np.fromiter(map(self.slot.__getitem__, new), np.int64, len(new))
+        self.count[slots], self.first[slots] = sizes, base + np.cumsum(sizes) - sizes
         self.used += total
-        self.slot.update(zip(new, range(slot, slot + len(new)), strict=True))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, ...]:
         """Ids of all texts in a row, ids per text, and if asked the character ranges of each id in its text."""
-        if len(self.slot) > self.memo_chunks:
+        if self.slot.given > self.memo_chunks:
             self._clear()
         cut = [self.chunks.findall(t) for t in texts]
-        new = list(set(chain.from_iterable(cut)).difference(self.slot))
+        n = np.fromiter(map(len, cut), np.int64, len(cut))
+        slots = np.fromiter(map(self.slot.__getitem__, chain.from_iterable(cut)), np.int64, int(n.sum()))
+        new, self.slot.new = self.slot.new, []
         self._learn([c for c in new if len(c) <= MEMO_LENGTH])
         kept = self.used
         self._learn(passing := [c for c in new if len(c) > MEMO_LENGTH])
-        n = np.fromiter(map(len, cut), np.int64, len(cut))
-        slots = np.fromiter(map(self.slot.__getitem__, chain.from_iterable(cut)), np.int64, int(n.sum()))
         sizes = self.count[slots].astype(np.int64)
         ends = np.cumsum(sizes)
         at = np.repeat(self.first[slots] - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
@@ -130,7 +169,8 @@ _ENCODERS: dict[tuple, ChunkEncoder] = {}
 
 
 def encoder(tokenizer_file: str, chunks: re.Pattern = SPACED, offsets: bool = False) -> ChunkEncoder:
-    """The encoder of this worker process, kept between tasks."""
+    """The encoder of this worker process, kept between tasks. A task has one core, so the library's own threads stay off."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     key = tokenizer_file, chunks.pattern, offsets
     if key not in _ENCODERS:
         _ENCODERS[key] = ChunkEncoder(tokenizer_file, chunks, offsets)
