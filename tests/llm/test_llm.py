@@ -636,3 +636,22 @@ def test_words_reach_the_model_together(file, chunks):
         assert np.split(ids, np.cumsum(counts)[:-1])[3].tolist() == Tokenizer.from_file(file).encode(texts[3], add_special_tokens=False).ids
         assert counts.tolist() == [len(Tokenizer.from_file(file).encode(t, add_special_tokens=False).ids) for t in texts]
     assert 0 < len(given) < 8  # not one for each of 891 words
+
+
+def test_words_that_come_again_stay_known():
+    coder, given = bpe.ChunkEncoder(queries.WORD_BPE, bpe.UNSPACED, memo_chunks=50), collections.Counter()
+    model = coder.model
+
+    class Counted:
+        def encode_batch_fast(self, batch, **settings):
+            given.update(w for joined in batch for w in joined.split(bpe.MARK))
+            return model.encode_batch_fast(batch, **settings)
+
+    coder.model, whole = Counted(), Tokenizer.from_file(queries.WORD_BPE)
+    for step in range(40):
+        rare = "".join("abcdefghij"[int(d)] for d in str(1000 + step))
+        texts = ["common words, common words again \x1fé\x0b3.5km", f"{rare}x {rare}y-{rare}z.", "q" * 90 + ",common", "", f" {rare}v {rare}w"]
+        ids, counts = coder.encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert given["common"] == given["words"] == given["again"] == 1 and given["baaax"] == 1
+    assert len(coder.slot) < 100

@@ -3,6 +3,7 @@
 The library is called on distinct chunks only. A chunk is a run of white space followed by a run of other
 characters; every pre-tokenisation pattern used here starts a new match wherever a chunk starts, so the ids of a text
 are the ids of its chunks joined. Chunks repeat heavily, and a worker keeps those it has met in a memo of bounded size.
+Where white space is dropped, the memo is asked for whole words between ASCII white space, and only a word that it lacks is cut into chunks.
 
 Nulls: a null text is encoded as the empty text and gives an empty list. Repeated rows and ids are encoded row by
 row. Only the id and text columns are read, so other columns cannot clash. A very long text is encoded in one step, as a list of its chunks.
@@ -34,7 +35,7 @@ UNSPACED = re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+(?=[\t-\r !-&(-@\[-`{-~]|\Z)|[!-
 #: Chunks that normalisation leaves as they are and that are one match of the pattern: these go straight to the model.
 ONE_WORD = {SPACED: re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+"), UNSPACED: re.compile(r"[a-z\xdf-\xf6\xf8-\xff]+")}
 
-#: Chunks a memo keeps before it starts anew, and the longest chunk it keeps.
+#: Chunks a memo keeps before it drops those that came once, and the longest chunk it keeps.
 MEMO_CHUNKS, MEMO_LENGTH = 250_000, 64
 #: Single words that reach the model as one text, the mark between them (in none of them), and other chunks encoded at once.
 JOINED, MARK, AT_ONCE = 512, "!", 4096
@@ -80,18 +81,41 @@ class ChunkEncoder:
         self.one_word = ONE_WORD[chunks].fullmatch
         self.to_characters = {b: c for c, b in byte_table().items()}
         self.chunks, self.offsets, self.memo_chunks = chunks, offsets, memo_chunks
-        self._clear()
-
-    def _clear(self) -> None:
+        self.by_words = chunks == UNSPACED and not offsets
         self.slot = _Slots()
-        self.ids, self.begins, self.ends = (np.empty(1 << 16, np.int32) for _ in range(3))
-        self.first, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
+        self.ids, self.begins, self.ends = (np.zeros(1 << 16, np.int32) for _ in range(3))
+        self.first, self.count, self.hits = (np.zeros(1 << 14, kind) for kind in (np.int64, np.int32, np.int64))
         self.used = 0
 
     def _room(self, name: str, upto: int) -> None:
         held = getattr(self, name)
         if upto > len(held):
-            setattr(self, name, np.concatenate([held, np.empty(max(upto - len(held), len(held)), held.dtype)]))
+            setattr(self, name, np.concatenate([held, np.zeros(max(upto - len(held), len(held)), held.dtype)]))
+
+    def _spread(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids per slot, and where in the flat arrays all these ids lie."""
+        sizes = self.count[slots].astype(np.int64)
+        ends = np.cumsum(sizes)
+        return sizes, np.repeat(self.first[slots] - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+    def _hit(self, slots: np.ndarray) -> None:
+        self._room("hits", self.slot.given)
+        self.hits[: self.slot.given] += np.bincount(slots, minlength=self.slot.given)
+
+    def _forget(self) -> None:
+        """Keep what came again since the last time, the most frequent first and half a memo at most."""
+        again = np.argsort(-self.hits[: self.slot.given], kind="stable")[: self.memo_chunks // 2]
+        stays = np.zeros(self.slot.given, bool)
+        stays[again[self.hits[again] > 1]] = True
+        kept = [(c, s) for c, s in self.slot.items() if stays[s]]
+        sizes, at = self._spread(np.fromiter((s for _, s in kept), np.int64, len(kept)))
+        self.slot = _Slots()
+        self.slot.update((c, i) for i, (c, _) in enumerate(kept))
+        self.slot.given, self.used = len(kept), len(at)
+        for name in ("ids", "begins", "ends")[: 3 if self.offsets else 1]:
+            setattr(self, name, np.append(getattr(self, name)[at], np.zeros(1 << 16, np.int32)))
+        self.count, self.first = (np.append(x, np.zeros(1 << 14, x.dtype)) for x in (sizes.astype(np.int32), np.cumsum(sizes) - sizes))
+        self.hits = np.append(np.ones(len(kept), np.int64), np.zeros(1 << 14, np.int64))
 
     def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of single words in a row, and ids per word. One encoding holds many words; the mark's id parts them."""
@@ -115,51 +139,82 @@ class ChunkEncoder:
         ids, sizes = zip(*parts, strict=True)
         return plain + rest, np.concatenate(ids), np.concatenate(sizes)
 
-    def _learn(self, new: list[str]) -> None:
-        if not new:
-            return
-        if self.offsets:
-            found = self.tokenizer.encode_batch(new, add_special_tokens=False)
-            rows = [e.ids for e in found]
-            sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-            ids = np.fromiter(chain.from_iterable(rows), np.int32, int(sizes.sum()))
-        else:
-            new, ids, sizes = self._found(new)
+    def _store(self, new: list, ids: np.ndarray, sizes: np.ndarray) -> None:
         base, total = self.used, len(ids)
-        for name in ("ids", "begins", "ends")[: 3 if self.offsets else 1]:
-            self._room(name, base + total)
+        self._room("ids", base + total)
         for name in ("first", "count"):
             self._room(name, self.slot.given)
         self.ids[base : base + total] = ids
-        if self.offsets:
-            pairs = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in found)), np.int32, 2 * total)
-            self.begins[base : base + total], self.ends[base : base + total] = pairs[0::2], pairs[1::2]
         slots = np.fromiter(map(self.slot.__getitem__, new), np.int64, len(new))
         self.count[slots], self.first[slots] = sizes, base + np.cumsum(sizes) - sizes
         self.used += total
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+    def _learn(self, new: list[str]) -> list[str]:
+        if new and not self.offsets:
+            self._store(*self._found(new))
+        elif new:
+            found = self.tokenizer.encode_batch(new, add_special_tokens=False)
+            rows, base = [e.ids for e in found], self.used
+            sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+            self._store(new, np.fromiter(chain.from_iterable(rows), np.int32, int(sizes.sum())), sizes)
+            for name in ("begins", "ends"):
+                self._room(name, self.used)
+            pairs = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in found)), np.int32, 2 * (self.used - base))
+            self.begins[base : self.used], self.ends[base : self.used] = pairs[0::2], pairs[1::2]
+        return new
+
+    def _learn_words(self, new: list[str]) -> list[str]:
+        """Learn words and their unknown chunks, which are returned. The ids of a word are those of its chunks in a row."""
+        single, several, parts, n = [], [], [], []
+        for word in new:
+            chunks = () if self.one_word(word) else self.chunks.findall(word)
+            if len(chunks) > 1:
+                several.append(word)
+                parts += chunks
+                n.append(len(chunks))
+            else:
+                single.append(word)
+        slots = np.fromiter(map(self.slot.__getitem__, parts), np.int64, len(parts))
+        single += self.slot.new
+        self.slot.new = []
+        self._learn(single)
+        self._hit(slots)
+        sizes, at = self._spread(slots)
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        self._store(several, self.ids[at], np.diff(upto[np.concatenate([[0], np.cumsum(n, dtype=np.int64)])]))
+        return single + several
+
+    def _cut(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The slot of each chunk or word of all texts in a row, and their number per text."""
+        if not self.by_words:
+            cut = [self.chunks.findall(t) for t in texts]
+            n = np.fromiter(map(len, cut), np.int64, len(cut))
+            return np.fromiter(map(self.slot.__getitem__, chain.from_iterable(cut)), np.int64, int(n.sum())), n
+        cut = pa.compute.ascii_split_whitespace(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        words = cut.flatten().dictionary_encode()  # each different word is looked up once
+        slots = np.fromiter(map(self.slot.__getitem__, words.dictionary.to_numpy(zero_copy_only=False)), np.int64, len(words.dictionary))
+        return slots[words.indices.to_numpy()], pa.compute.list_value_length(cut).to_numpy().astype(np.int64)
+
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, ...]:
         """Ids of all texts in a row, ids per text, and if asked the character ranges of each id in its text."""
         if self.slot.given > self.memo_chunks:
-            self._clear()
-        cut = [self.chunks.findall(t) for t in texts]
-        n = np.fromiter(map(len, cut), np.int64, len(cut))
-        slots = np.fromiter(map(self.slot.__getitem__, chain.from_iterable(cut)), np.int64, int(n.sum()))
+            self._forget()
+        slots, n = self._cut(texts)
         new, self.slot.new = self.slot.new, []
-        self._learn([c for c in new if len(c) <= MEMO_LENGTH])
+        learn = self._learn_words if self.by_words else self._learn
+        learn([c for c in new if len(c) <= MEMO_LENGTH])
         kept = self.used
-        self._learn(passing := [c for c in new if len(c) > MEMO_LENGTH])
-        sizes = self.count[slots].astype(np.int64)
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.first[slots] - ends + sizes, sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
-        upto = np.concatenate([[0], ends])
+        passing = learn([c for c in new if len(c) > MEMO_LENGTH])
+        self._hit(slots)
+        sizes, at = self._spread(slots)
+        upto = np.concatenate([[0], np.cumsum(sizes)])
         bounds = upto[np.concatenate([[0], np.cumsum(n)])]
         result = self.ids[at], np.diff(bounds)
         if self.offsets:
             starts = np.fromiter(chain.from_iterable((m.start() for m in self.chunks.finditer(t)) for t in texts), np.int64, len(slots))
             shift = np.repeat(starts, sizes)
             result += ((self.begins[at] + shift).astype(np.int32), (self.ends[at] + shift).astype(np.int32))
-        for chunk in passing:  # long chunks were added last and seldom come again
+        for chunk in passing:  # long ones were added last and seldom come again
             del self.slot[chunk]
         self.used = kept
         return result
@@ -177,11 +232,6 @@ def encoder(tokenizer_file: str, chunks: re.Pattern = SPACED, offsets: bool = Fa
     return _ENCODERS[key]
 
 
-def ascii_lower(text: str) -> str:
-    """A to Z in small letters, everything else as it is."""
-    return text.encode().lower().decode()
-
-
 def lists(flat: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     bounds = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat, kind))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .arrow import map_arrow, text_steps
-from .bpe import UNSPACED, ascii_lower, encoder, lists
+from .bpe import UNSPACED, encoder, lists
 
 
 @dataclass(frozen=True)
@@ -50,8 +50,7 @@ def write_tokens(df: DataFrame, path: str, tokenizer_file: str, id_col: str = "d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, shard, seq, start = encoder(tokenizer_file, UNSPACED), TaskContext.get().partitionId(), 0, 0
         for step in text_steps(batches, "text"):
-            texts = pa.compute.fill_null(step.column("text"), "").to_pylist()
-            flat, counts = bpe.encode(list(map(ascii_lower, texts)))
+            flat, counts = bpe.encode(pa.compute.ascii_lower(pa.compute.fill_null(step.column("text"), "")))
             flat = np.insert(flat, np.cumsum(counts), end_id)
             counts = counts + 1
             n = len(counts)
